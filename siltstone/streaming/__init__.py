@@ -1,0 +1 @@
+"""Intentionally empty: the work rebuilt here is a daily batch and has no streaming part."""
