@@ -44,8 +44,18 @@ def denormalize(
     under the session's threshold, and splits hot keys of the base side at run time.
     """
     wide = _declared(current_rows(base), base_columns)
+    own_columns = wide.columns
+    columns = list(own_columns)
+    steps = []
     for dimension in dimensions:
-        right = _aligned(dimension, wide.columns)
+        right = _aligned(dimension, columns)
+        columns += [c for c in right.columns if c not in dimension.keys]
+        steps.append((dimension, right))
+    # Left joins on columns of the base commute: the narrowest first, so that the rows
+    # the later ones shuffle are as narrow as they can be.
+    if all(d.how == "left" and set(d.keys) <= set(own_columns) for d, _ in steps):
+        steps.sort(key=lambda step: len(step[1].columns) - len(step[0].keys))
+    for dimension, right in steps:
         on = list(dimension.keys)
         if dimension.fan_out:
             if dimension.how != "left":
@@ -53,6 +63,7 @@ def denormalize(
             wide = left_join_fan_out(wide, right, on)
         else:
             wide = wide.join(right, on, dimension.how)
+    wide = wide.select(*columns)
     if run_ts is not None:
         wide = wide.withColumn("_pipeline_timestamp", F.lit(run_ts).cast("timestamp"))
     return wide

@@ -1,0 +1,162 @@
+"""Consolidation, ingest, wide table and metadata on small frames."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltstone.operators.consolidate import consolidate
+from siltstone.operators.denormalize import Dimension, denormalize, left_join_fan_out
+from siltstone.operators.metadata import keyword_tags, provenance_edges
+from siltstone.plans.bronze import ingest, without_metadata
+from siltstone.plans.gold import wide_frame
+from siltstone.domains import DOMAINS, POSITIONS, WIDE_EXCLUDED, WIDE_JOINS
+from siltstone.operators.evolve import evolve
+
+AT = datetime(2026, 5, 26)
+
+
+def rows(df, *names):
+    return sorted((tuple(r) for r in df.select(*names).collect()), key=repr)
+
+
+def feed(spark, data):
+    return spark.createDataFrame(data, "k int, src string, v int")
+
+
+def test_first_priority_wins_and_unknown_sources_come_last(spark):
+    df = feed(spark, [(1, "c", 1), (1, "b", 2), (1, "a", 3), (2, "c", 4), (2, "x", 5), (3, "x", 6)])
+    out = consolidate([df], ["k"], "src", ["a", "b", "c"], ["v"])
+    assert rows(out, "k", "src", "v") == [(1, "a", 3), (2, "c", 4), (3, "x", 6)]
+
+
+def test_tiebreak_decides_whatever_the_order_of_arrival(spark):
+    data = [(1, "a", 3), (1, "a", 1), (1, "a", 2)]
+    for parts in (1, 3):
+        for given in (data, data[::-1]):
+            df = feed(spark, given).repartition(parts)
+            assert rows(consolidate([df], ["k"], "src", ["a"], ["v"]), "v") == [(1,)]
+            assert rows(consolidate([df], ["k"], "src", ["a"], [F.desc("v")]), "v") == [(3,)]
+            assert rows(consolidate([df], ["k"], "src", ["a"], None), "v") == [(1,)]
+
+
+def test_missing_columns_keep_the_other_feeds_type(spark):
+    wide = spark.createDataFrame([(1, "a", 7)], "k int, src string, n bigint")
+    narrow = spark.createDataFrame([(2, "b")], "k int, src string")
+    out = consolidate([narrow, wide], ["k"], "src", ["a", "b"], None)
+    assert out.schema["n"].dataType.simpleString() == "bigint"
+    assert rows(out, "k", "n") == [(1, 7), (2, None)]
+
+
+def absent():
+    raise FileNotFoundError("nothing")
+
+
+def test_ingest_skips_missing_feeds(spark):
+    df = feed(spark, [(1, "a", 1)])
+    out = ingest({"a": lambda: df, "b": absent}, AT)
+    assert rows(out, "k", "_source_system", "_ingestion_timestamp") == [(1, "a", AT)]
+    assert without_metadata(out).columns == ["k", "src", "v"]
+    with pytest.raises(FileNotFoundError):
+        ingest({"a": lambda: df, "b": absent}, AT, on_missing="error")
+    with pytest.raises(ValueError, match="no feed delivered"):
+        ingest({"b": absent}, AT)
+
+
+def test_ingest_without_priority_keeps_duplicates(spark):
+    df = feed(spark, [(1, "a", 1)])
+    assert ingest({"a": lambda: df, "b": lambda: df}, AT).count() == 2
+    kept = ingest({"a": lambda: df, "b": lambda: df}, AT, key=["k"], priority=["b", "a"])
+    assert rows(kept, "_source_system") == [("b",)]
+
+
+BASE = [(1, 10, "p"), (2, None, "q"), (3, 99, "r")]
+
+
+def test_only_current_rows_take_part_and_no_base_row_is_lost(spark):
+    base = spark.createDataFrame(
+        [(1, 10, True), (1, 11, False), (2, 12, True)], "id int, sec int, _is_current boolean"
+    )
+    dim = spark.createDataFrame(
+        [(10, "now", True), (10, "old", False), (12, "gone", False)],
+        "sec int, name string, _is_current boolean",
+    )
+    wide = denormalize(base, [Dimension("d", dim, ("sec",))], run_ts=AT)
+    assert wide.columns == ["id", "sec", "name", "_pipeline_timestamp"]
+    assert rows(wide, "id", "name") == [(1, "now"), (2, None)]
+
+
+def test_collisions(spark):
+    base = spark.createDataFrame([(1, "x", "y")], "id int, name string, d_name string")
+    dim = spark.createDataFrame([(1, "z")], "id int, name string")
+    with pytest.raises(ValueError, match="both name and d_name"):
+        denormalize(base, [Dimension("d", dim, ("id",))])
+    wide = denormalize(base.drop("d_name"), [Dimension("d", dim, ("id",))])
+    assert wide.first().asDict() == {"id": 1, "name": "x", "d_name": "z"}
+    twice = denormalize(base.drop("d_name"), [Dimension("d", dim, ("id",)), Dimension("e", dim, ("id",))])
+    assert twice.columns == ["id", "name", "d_name", "e_name"]
+
+
+def test_missing_join_key_is_an_error(spark):
+    base = spark.createDataFrame([(1,)], "id int")
+    dim = spark.createDataFrame([(1,)], "other int")
+    with pytest.raises(ValueError, match="lacks key columns"):
+        denormalize(base, [Dimension("d", dim, ("id",))])
+
+
+def test_fan_out_join_equals_left_join(spark):
+    left = spark.createDataFrame(BASE, "id int, k int, n string")
+    right = spark.createDataFrame([(10, "a"), (10, "b"), (None, "c"), (50, "d")], "k int, v string")
+    expected = rows(left.join(right, ["k"], "left"), "id", "k", "n", "v")
+    assert rows(left_join_fan_out(left, right, ["k"]), "id", "k", "n", "v") == expected
+    both = left.withColumn("j", F.col("id"))
+    other = right.withColumn("j", F.lit(1))
+    expected = rows(both.join(other, ["k", "j"], "left"), "id", "k", "j", "v")
+    assert rows(left_join_fan_out(both, other, ["k", "j"]), "id", "k", "j", "v") == expected
+
+
+def test_join_order_does_not_show(spark):
+    base = spark.createDataFrame([(1, 2)], "a int, b int")
+    broad = spark.createDataFrame([(1, 1, 1, 1)], "a int, x int, y int, z int")
+    slim = spark.createDataFrame([(2, 5)], "b int, x int")
+    wide = denormalize(base, [Dimension("broad", broad, ("a",)), Dimension("slim", slim, ("b",))])
+    assert wide.columns == ["a", "b", "x", "y", "z", "slim_x"]
+    assert wide.first().slim_x == 5
+
+
+def test_wide_table_has_202_columns(spark):
+    tables = {n: evolve(spark.createDataFrame([(1,)], "_seed int"), s.schema()).drop("_seed")
+              for n, s in DOMAINS.items()}
+    wide = wide_frame(tables["positions"], POSITIONS, tables, DOMAINS, WIDE_JOINS, WIDE_EXCLUDED, AT)
+    assert len(wide.columns) == len(set(wide.columns)) == 202
+    assert {"security_currency", "security_created_timestamp"} <= set(wide.columns)
+    only = wide_frame(tables["positions"], POSITIONS, {}, DOMAINS, WIDE_JOINS, WIDE_EXCLUDED, AT)
+    assert len(only.columns) == 66
+
+
+def test_provenance_paths(spark):
+    df = spark.createDataFrame(
+        [("f", "a.b.c.d | e.f.g.h.i"), ("g", "derived"), ("h", ""), ("i", None), ("j", "a.b.c"),
+         ("k", " a.b.c.d\t | x")], "field string, path string",
+    )
+    out = provenance_edges(df, "path", "field", "dom")
+    assert rows(out, "target_field", "source_system", "source_table", "source_column", "transformation") == [
+        ("f", "a", "b.c", "d", "direct_map"),
+        ("f", "e", "f.g", "h", "direct_map"),
+        ("g", "derived", "", "", "derived"),
+        ("h", "derived", "", "", "derived"),
+        ("i", "derived", "", "", "derived"),
+        ("k", "a", "b.c", "d", "direct_map"),
+    ]
+
+
+def test_tags(spark):
+    df = spark.createDataFrame(
+        [("Put_Price", "pricing"), ("nothing", ""), ("issuer_id", None), ("COUPON", "dates")],
+        "name string, grp string",
+    )
+    out = df.select("name", keyword_tags(F.col("name"), F.col("grp")).alias("tags"))
+    assert {r.name: r.tags for r in out.collect()} == {
+        "Put_Price": ["fixed_income", "pricing"], "nothing": [], "issuer_id": ["identifier"],
+        "COUPON": ["dates", "fixed_income"],
+    }
