@@ -238,6 +238,7 @@ POSITIONS = DomainSpec(
     defaults=(Default("position_status", ("OPEN", "CLOSED", "PENDING"), "OPEN"),),
     sums=(SumOf("total_pnl", ("unrealized_pnl", "realized_pnl")),),
     stamps=("created_timestamp", "updated_timestamp"),
+    partition="as_of_date",
 )
 
 SECURITY = DomainSpec(

@@ -61,7 +61,10 @@ def keyword_tags(
         for word in words[1:]:
             found = found | lowered.contains(word)
         hits.append(F.when(found, F.lit(tag)))
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))
+    # array_except drops NULLs and duplicates and, unlike a lambda over the array, leaves
+    # the expression compiled: the text is lowered once, not once per word.
+    nothing = F.array(F.lit(None).cast("string"))
+    return F.sort_array(F.array_except(F.array(*hits), nothing))
 
 
 def with_keyword_tags(

@@ -3,8 +3,10 @@
 Layout: ``<root>/<layer>/<table>/_state_batch=<batch>/``. A history table adds
 ``_is_current=true|false`` below: a batch writes its current versions and only those
 versions it has closed itself; the closed versions of earlier batches stay where they
-are. The history up to a batch is thus its own current rows plus the closed rows of
-every batch up to it, and both conditions prune directories.
+are. A history table can also be partitioned by one DATE column of its key. A batch
+then writes the dates it touches and no others; the current rows of a date are those
+of the last batch that wrote it. Reading a state thus means choosing directories, and
+adding a day costs that day, however long the history is.
 
 Running a batch again replaces its own directory and gives the same rows. After
 re-running an old batch, run the later ones again in order.
@@ -52,6 +54,11 @@ def table_columns(spark: SparkSession, path: str, fmt: str = "parquet") -> list[
     return read_table(spark, path, fmt).schema.fields if table_exists(spark, path) else []
 
 
+def _batch_of(path: str) -> str:
+    """The batch in whose directory ``path`` lies."""
+    return path.split(f"/{_BATCH}=", 1)[1].split("/", 1)[0]
+
+
 class Store:
     """The layered tables under one root."""
 
@@ -68,7 +75,7 @@ class Store:
         """Completed batches in order."""
         base = self.path(layer, table)
         done = paths.children(self.spark, base, f"{_BATCH}=*/_SUCCESS")
-        return sorted(path.rsplit("/", 2)[1].split("=", 1)[1] for path in done)
+        return sorted(_batch_of(path) for path in done)
 
     def latest(self, layer: str, table: str, before: str | None = None) -> str | None:
         """The last completed batch, strictly before ``before`` when that is given."""
@@ -90,33 +97,57 @@ class Store:
         chosen = batch or self._latest_or_fail(layer, table)
         return read_table(self.spark, self.path(layer, table, chosen), self.fmt)
 
-    def write_history(self, df: DataFrame, layer: str, table: str, batch: str) -> int:
-        """Store current versions and the versions closed by ``batch``."""
-        return self.write(df, layer, table, batch, partition_by=[_FLAG])
+    def write_history(
+        self, df: DataFrame, layer: str, table: str, batch: str, partition: str | None = None
+    ) -> int:
+        """Store current versions and the versions closed by ``batch``.
+
+        With ``partition``, ``df`` must hold all current rows of every date it holds.
+        """
+        if partition and df.schema[partition].dataType != T.DateType():
+            raise ValueError(f"a history table is partitioned by a DATE column, not {partition}")
+        return self.write(df, layer, table, batch, [_FLAG, partition] if partition else [_FLAG])
 
     def read_history(self, layer: str, table: str, batch: str | None = None) -> DataFrame:
         """Every version as of a batch, the latest by default."""
         chosen = batch or self._latest_or_fail(layer, table)
-        parts = [b for b in self.batches(layer, table) if b <= chosen]
-        own = (F.col(_BATCH) == chosen) & F.col(_FLAG)
-        closed = ~F.col(_FLAG)
-        return self._batches(layer, table, chosen, parts).filter(own | closed).drop(_BATCH)
+        known = {b for b in self.batches(layer, table) if b <= chosen}
+        closed = paths.children(
+            self.spark, self.path(layer, table), f"{_BATCH}=*/{_FLAG}=false"
+        )
+        closed = [path for path in closed if _batch_of(path) in known]
+        return self._load(layer, table, chosen, self._current(layer, table, chosen) + closed)
 
     def read_current(self, layer: str, table: str, batch: str | None = None) -> DataFrame:
         """The current versions as of a batch, the latest by default."""
         chosen = batch or self._latest_or_fail(layer, table)
-        return self._batches(layer, table, chosen, [chosen]).filter(_FLAG).drop(_BATCH)
+        return self._load(layer, table, chosen, self._current(layer, table, chosen))
 
-    def _batches(self, layer: str, table: str, newest: str, batches: list[str]) -> DataFrame:
+    def _current(self, layer: str, table: str, batch: str) -> list[str]:
+        """Directories of the current rows: the batch's own, or per date the last one written."""
+        base = self.path(layer, table)
+        dated = paths.children(self.spark, base, f"{_BATCH}=*/{_FLAG}=true/*=*")
+        if not dated:
+            return paths.children(self.spark, base, f"{_BATCH}={batch}/{_FLAG}=true")
+        known = {b for b in self.batches(layer, table) if b <= batch}
+        newest: dict[str, str] = {}
+        for path in sorted(dated, key=_batch_of):
+            if _batch_of(path) in known:
+                newest[path.rsplit("/", 1)[1]] = path
+        return sorted(newest.values())
+
+    def _load(self, layer: str, table: str, newest: str, directories: list[str]) -> DataFrame:
         # The newest batch knows every column; older files read as NULL in new ones.
         known = self.read(layer, table, newest).schema
         fields = [f for f in known.fields if f.name != _FLAG]
         schema = T.StructType(
             [*fields, T.StructField(_FLAG, T.BooleanType()), T.StructField(_BATCH, T.StringType())]
         )
+        if not directories:
+            return self.spark.createDataFrame([], schema).drop(_BATCH)
         reader = self.spark.read.format(self.fmt).schema(schema)
         reader = reader.option("basePath", self.path(layer, table))
-        return reader.load([self.path(layer, table, b) for b in batches])
+        return reader.load(directories).drop(_BATCH)
 
     def _latest_or_fail(self, layer: str, table: str) -> str:
         batch = self.latest(layer, table)

@@ -56,6 +56,7 @@ class DomainSpec:
     defaults: tuple[Default, ...] = ()
     sums: tuple[SumOf, ...] = ()
     stamps: tuple[str, ...] = ()  # audit timestamps, filled with the run time when absent
+    partition: str | None = None  # DATE column of the key by which the history is partitioned
 
     @property
     def column_names(self) -> tuple[str, ...]:

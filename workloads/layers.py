@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,7 @@ def extract_security(spark, directory):
 
 @register(f"""SELECT CALC_ID AS risk_calc_id, SEC_ID AS security_id, POS_ID AS position_id,
   CALC_DATE AS as_of_date, PX_SOURCE AS price_source, YTM AS yield_to_maturity,
-  LIQ_SCORE AS liquidity_score, DV01 AS dv01 FROM ({feeds.risk_sql().format(text="VARCHAR")})""")
+  LIQ_SCORE AS liquidity_score, DV01 AS dv01 FROM ({feeds.risk_sql(1)})""")
 def extract_risk(spark, directory):
     return _extracted(spark, directory, RISK_ANALYTICS, "risk_engine")
 
@@ -110,7 +111,7 @@ def conform_security(spark, directory):
     return conform(rows, SECURITY).select(*feeds.SECURITY_COLUMNS)
 
 
-@register(feeds.conformed_risk())
+@register(feeds.conformed_risk(1))
 def conform_risk(spark, directory):
     rows = _extracted(spark, directory, RISK_ANALYTICS, "risk_engine")
     return conform(rows, RISK_ANALYTICS).select(*feeds.RISK_COLUMNS)
@@ -173,19 +174,24 @@ def _two_days(spark, directory) -> tuple[Store, DataFrame]:
     """Day 1 with all feeds; on day 2 the beta system delivers nothing."""
     root = scratch(spark)
     raw, store = f"{root}/raw", Store(spark, f"{root}/warehouse")
-    for day, compact in ((1, "20260526"), (2, "20260527")):
-        for spec in (POSITIONS, SECURITY, RISK_ANALYTICS):
-            for feed in spec.feeds:
-                if day == 2 and feed.name == "accounting_system_beta":
-                    continue
-                rows = feeds.delivery(spark, directory, feed.name, day)
-                write_table(rows, f"{raw}/{feed.name}/{spec.name}_{compact}.parquet")
+
+    def deliver(parts: tuple[int, str, str]) -> int:
+        day, compact, feed = parts
+        rows = feeds.delivery(spark, directory, feed, day)
+        return write_table(rows, f"{raw}/{feed}/delivery_{compact}.parquet")
+
+    names = [f.name for spec in (POSITIONS, SECURITY, RISK_ANALYTICS) for f in spec.feeds]
+    deliveries = [(1, "20260526", name) for name in names]
+    deliveries += [(2, "20260527", n) for n in names if n != "accounting_system_beta"]
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(deliver, deliveries))
     run_day(spark, raw, store, "2026-05-26")
     report = run_day(spark, raw, store, "2026-05-27", report_path=f"{root}/reports")
     return store, report
 
 
 _POSITIONS_NOW = feeds.conformed_positions(feeds.current_positions())
+_RISK_NOW = f"{feeds.conformed_risk(1)} UNION ALL {feeds.conformed_risk(2)}"
 
 
 @register(f"""
@@ -195,7 +201,7 @@ SELECT p.*, s.security_name, s.security_type, s.asset_class, s.coupon_rate, s.cr
   TIMESTAMP '2026-05-27 00:00:00' AS _pipeline_timestamp
 FROM ({_POSITIONS_NOW}) p
 LEFT JOIN ({feeds.conformed_security(2)}) s ON p.security_id = s.security_id
-LEFT JOIN ({feeds.conformed_risk()}) r
+LEFT JOIN ({_RISK_NOW}) r
   ON p.position_id = r.position_id AND p.as_of_date = r.as_of_date""")
 def gold_enterprise(spark, directory):
     """The stored wide table after two days, its columns that are not NULL throughout."""
@@ -211,7 +217,7 @@ def gold_enterprise(spark, directory):
 
 @register(f"""
 WITH p AS MATERIALIZED ({_POSITIONS_NOW}),
-r AS MATERIALIZED ({feeds.conformed_risk()}),
+r AS MATERIALIZED ({_RISK_NOW}),
 n AS (SELECT (SELECT count(*) FROM p) AS pos,
   (SELECT count(*) FROM p LEFT JOIN r USING (position_id, as_of_date)) AS wide,
   (SELECT count(*) FROM (SELECT DISTINCT position_id, as_of_date FROM p
@@ -238,17 +244,16 @@ def daily_report(spark, directory):
 WITH d1 AS ({feeds.conformed_positions(feeds.consolidated(
     feeds.alpha_canonical(1) + " UNION ALL BY NAME " + feeds.beta_canonical()))}),
 d2 AS ({feeds.conformed_positions(feeds.consolidated(feeds.alpha_canonical(2)))}),
-closed AS (SELECT d1.* FROM d1 JOIN d2 USING (position_id, book_id, as_of_date)
-  WHERE d1.notional_amount <> d2.notional_amount)
-SELECT *, TIMESTAMP '2026-05-26 00:00:00' AS _effective_from,
-  TIMESTAMP '2026-05-27 00:00:00' AS _effective_to, false AS _is_current, '20260526' AS _batch_id
-FROM closed
-UNION ALL
-SELECT *, TIMESTAMP '2026-05-26 00:00:00', NULL, true, '20260526' FROM d1
-WHERE (position_id, book_id, as_of_date) NOT IN (SELECT (position_id, book_id, as_of_date) FROM closed)
+pairs AS (SELECT d1.position_id, d1.book_id, d1.as_of_date,
+    d1.notional_amount <> d2.notional_amount AS changed
+  FROM d1 JOIN d2 USING (position_id, book_id, as_of_date))
+SELECT d1.*, TIMESTAMP '2026-05-26 00:00:00' AS _effective_from,
+  CASE WHEN changed THEN TIMESTAMP '2026-05-27 00:00:00' END AS _effective_to,
+  NOT coalesce(changed, false) AS _is_current, '20260526' AS _batch_id
+FROM d1 LEFT JOIN pairs USING (position_id, book_id, as_of_date)
 UNION ALL
-SELECT d2.*, TIMESTAMP '2026-05-27 00:00:00', NULL, true, '20260527' FROM d2
-WHERE (position_id, book_id, as_of_date) IN (SELECT (position_id, book_id, as_of_date) FROM closed)""")
+SELECT d2.*, TIMESTAMP '2026-05-27 00:00:00', NULL, true, '20260527'
+FROM d2 LEFT JOIN pairs USING (position_id, book_id, as_of_date) WHERE coalesce(changed, true)""")
 def silver_positions(spark, directory):
     """Every version of every position after two days."""
     store, _ = _two_days(spark, directory)
