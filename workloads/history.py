@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltstone.functions.hashing import record_hash
 from siltstone.operators.evolve import evolve
@@ -131,8 +134,6 @@ SELECT *, CAST(NULL AS DECIMAL(12,6)) AS o_fx_rate, CAST(NULL AS VARCHAR) AS o_c
 FROM versions""")
 def scd2_evolved(spark, directory):
     """Columns are added between two deliveries of the same rows: no row is re-versioned."""
-    from pyspark.sql import types as T
-
     orders = table(spark, directory, "orders")
     wider = T.StructType(
         [T.StructField("o_fx_rate", T.DecimalType(12, 6)), T.StructField("o_channel", T.StringType())]
@@ -177,12 +178,10 @@ def record_hash_delimited(spark, directory):
 
 
 @register("""
-SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '1997-05-28 00:00:00'""")
+SELECT * FROM orders WHERE o_orderdate = TIMESTAMP '1995-06-19 00:00:00'""")
 def snapshot_as_of(spark, directory):
     """One business date; the predicate reaches the scan."""
-    from datetime import datetime
-
-    return snapshot(table(spark, directory, "orders"), datetime(1997, 5, 28), "o_orderdate")
+    return snapshot(table(spark, directory, "orders"), datetime(1995, 6, 19), "o_orderdate")
 
 
 @register(f"""WITH {_versions(1, 2)} SELECT * FROM versions

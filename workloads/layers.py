@@ -15,7 +15,7 @@ from siltstone.plans.daily import run_day
 from siltstone.plans.silver import silver_step
 from siltstone.sources.extract import extract
 from siltstone.sources.scan import list_snapshots, read_snapshot
-from siltstone.sources.store import Store, write_table
+from siltstone.sources.store import Store, read_table, write_table
 from siltstone.specs import DomainSpec
 from workloads import domain_feeds as feeds
 from workloads.history import KEY
@@ -62,6 +62,14 @@ def snapshots_listed(spark, directory):
     return list_snapshots(spark, _event_snapshots(spark, directory))
 
 
+@register("SELECT * FROM lineitem")
+def table_round_trip(spark, directory):
+    """A written table read back."""
+    path = f"{scratch(spark)}/lines"
+    write_table(table(spark, directory, "lineitem"), path)
+    return read_table(spark, path)
+
+
 # --- one domain at a time -------------------------------------------------------------
 
 
