@@ -67,7 +67,8 @@ class PieceEncoder:
     """Encodes rows with one byte-level BPE file; special strings in texts as that file says.
 
     Encoded pieces are remembered: their ids lie end to end in ``flat``, and ``known``
-    has each piece's number. Past ``CACHE_PIECES`` pieces all are forgotten.
+    has each piece's number; ``number`` and ``row_pieces`` are the last block's pieces and
+    each row's offset among them. Past ``CACHE_PIECES`` pieces all are forgotten.
     """
 
     def __init__(self, path: str):
@@ -124,6 +125,7 @@ class PieceEncoder:
         """uint32 ids of all rows, end to end, and each row's offset among them."""
         starts = cuts(raw, ends)
         if not len(starts):
+            self.number, self.row_pieces = starts, np.zeros(len(ends), np.int64)
             return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
         offsets = np.append(starts, len(raw)).astype(np.int32)
         data = pa.py_buffer(np.ascontiguousarray(raw))
@@ -135,8 +137,9 @@ class PieceEncoder:
         known = self.known
         self._learn([x for x in distinct if x not in known])
         number = np.fromiter(map(known.__getitem__, distinct), dtype=np.int64, count=len(distinct))[place]
+        self.number, self.row_pieces = number, np.searchsorted(starts, ends)
         begins = self.bounds[number]
         lengths = self.bounds[number + 1] - begins
         after = np.cumsum(lengths)
         ids = self.flat[np.repeat(begins - (after - lengths), lengths) + np.arange(after[-1])]
-        return ids, np.concatenate([[0], after])[np.searchsorted(starts, ends)]
+        return ids, np.concatenate([[0], after])[self.row_pieces]

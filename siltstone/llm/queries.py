@@ -7,11 +7,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.llm.adaptive_scan import nearest_neighbours
 from siltstone.llm.chat_windows import CHAT_SQL, chat_digests
+from siltstone.llm.fertility import fertility_rules
+from siltstone.llm.html_text import extracted
 from siltstone.llm.mixture import MIXTURE_SQL, mixture
 from siltstone.llm.ngram_join import JOIN_SQL, ngram_components
 from siltstone.llm.packing import pack
+from siltstone.llm.quality_votes import quality_votes
 from siltstone.llm.scratch import ship
+from siltstone.llm.toxicity import toxicity
 from siltstone.llm.wavelet import token_index
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +79,30 @@ def op7_chat_windows(spark: SparkSession, directory: str) -> DataFrame:
 @register(MIXTURE_SQL)
 def op8_mixture(spark: SparkSession, directory: str) -> DataFrame:
     return mixture(table(spark, directory, "documents"), ["doc_id"])
+
+
+@register()
+def op2_fertility(spark: SparkSession, directory: str) -> DataFrame:
+    return fertility_rules(
+        table(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
+@register()
+def op3_quality_votes(spark: SparkSession, directory: str) -> DataFrame:
+    return quality_votes(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@register()
+def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@register()
+def op9_html_text(spark: SparkSession, directory: str) -> DataFrame:
+    return extracted(table(spark, directory, "pages"))
+
+
+@register()
+def op10_adaptive_scan(spark: SparkSession, directory: str) -> DataFrame:
+    return nearest_neighbours(table(spark, directory, "embeddings"))
