@@ -193,3 +193,12 @@ def fertility_rules(docs: DataFrame, tokenizer: str, pieces: str, *, width: floa
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         *MEASURES, "in_band",
     )
+
+
+def kept_documents(docs: DataFrame, tokenizer: str, pieces: str, *, width: float = 6.0) -> DataFrame:
+    """The rows of ``docs`` (text, lang) whose verdict is to keep, with the columns they had."""
+    own = {name: f"own_{at}" for at, name in enumerate(docs.columns)}
+    carried = docs.select("text", "lang", *[F.col(a).alias(b) for a, b in own.items()])
+    rows = measured(carried, tokenizer, pieces, ["lang", *own.values()])
+    rows = Scratch(docs.sparkSession).keep(rows, "measured")
+    return judged(rows, width=width).where("kept").select(*[F.col(b).alias(a) for a, b in own.items()])

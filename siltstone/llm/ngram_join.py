@@ -338,6 +338,16 @@ def ngram_components(docs: DataFrame, *, n: int = 5, percent: int = 75, bits: in
     )
 
 
+def one_of_each(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text) whose doc_id is the smallest of their component, with all columns.
+
+    Rows without doc_id stay, and so do all rows that repeat a doc_id that stays.
+    """
+    found = ngram_components(docs, n=n, percent=percent)
+    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+
+
 JOIN_SQL = r"""
 WITH RECURSIVE split AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -237,3 +237,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5) -> D
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` (text string) that score below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [shared.value.scores(raw, ends) for _, _, raw, ends in blocks(batch.column(at))]
+            if scores:
+                yield batch.filter(pa.array(np.concatenate(scores) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
