@@ -37,6 +37,7 @@ def difference(sizes: np.ndarray, k: int) -> np.ndarray:
         sums[-1], slots[-1] = size, item
         heap.append((-size, item, sums, slots))
     heapq.heapify(heap)
+    turn = len(sizes)
     while len(heap) > 1:
         _, _, sums, slots = heapq.heappop(heap)
         _, _, other, others = heapq.heappop(heap)
@@ -52,7 +53,8 @@ def difference(sizes: np.ndarray, k: int) -> np.ndarray:
         order = np.argsort(sums, kind="stable")
         sums, joined = sums[order], joined[order]
         # Equal shares of all windows don't matter to later merges.
-        heapq.heappush(heap, (int(sums[0] - sums[-1]), len(parent) + len(heap), sums - sums[0], joined))
+        heapq.heappush(heap, (int(sums[0] - sums[-1]), turn, sums - sums[0], joined))
+        turn += 1
     roots = heap[0][3].tolist()
     window = {root: at for at, root in enumerate(roots) if root >= 0}
     place = [0] * len(parent)
