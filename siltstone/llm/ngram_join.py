@@ -13,8 +13,10 @@ reaches a bound. The join is exact (up to collisions of 64-bit hashes):
    ``min(l, l')`` of theirs. Each class chooses its own ``l``: a longer prefix reads
    more postings, yet divides the candidates (at most postings / l) that need a check.
 4. First each shingle's classes are checked against one of them, that with the fewest
-   unshared shingles. Only pairs that this leaves in different components and that share
-   enough prefix shingles are checked next. So a group of copies costs links in
+   unshared shingles. Only pairs that this leaves in different components are looked for
+   next, by the first shingle that they share: its ranks in both orders must leave room
+   for the rest that a link needs. Pairs with enough common prefix shingles are verified.
+   So a group of copies costs links in
    proportion to its size, not to its square, and no component is lost.
 5. Components come from stars over written link tables.
 """
@@ -242,41 +244,61 @@ def _survivor_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _can_link(percent: int) -> str:
     """Whether sizes and shared shingles of a and b leave room for a link."""
-    need = f"{percent} * (a.size + b.size)"
-    return f"least(a.shared, b.shared) * {100 + percent}L >= {need}"
+    return f"least(a.shared, b.shared) * {100 + percent}L >= {percent} * (a.size + b.size)"
+
+
+def _early(percent: int) -> str:
+    """Whether a shingle can be the first that a and b share, if they link.
+
+    They share at most it and all that comes later in both orders.
+    """
+    most = "1 + least(a.size - a.rank, b.size - b.rank)"
+    return f"({most}) * {100 + percent}L >= {percent} * (a.size + b.size)"
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of (a, b) whose sets reach the bound."""
+    """Those of (a, b) that share enough prefix shingles and whose sets reach the bound."""
+
+    def common(a: np.ndarray, b: np.ndarray) -> int:
+        if len(a) > len(b):
+            a, b = b, a
+        at = np.searchsorted(b, a)
+        return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size_a, size_b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            grams_a, grams_b = batch.column(4), batch.column(5)
+            size_a, size_b, needed = (batch.column(i).to_pylist() for i in (2, 3, 4))
+            grams_a, grams_b, first_a, first_b = (batch.column(i) for i in (5, 6, 7, 8))
             good = []
             for row in range(batch.num_rows):
-                a = np.frombuffer(grams_a[row].as_buffer(), dtype=np.uint64)
-                b = np.frombuffer(grams_b[row].as_buffer(), dtype=np.uint64)
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
+                a, b = (np.sort(x[row].values.to_numpy()) for x in (first_a, first_b))
+                if common(a, b) < needed[row]:
+                    good.append(False)
+                    continue
+                a, b = (np.frombuffer(x[row].as_buffer(), dtype=np.uint64) for x in (grams_a, grams_b))
+                both = common(a, b)
                 good.append(100 * both >= percent * (size_a[row] + size_b[row] - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
-    left = sets.select(F.col("set_id").alias("a"), F.col("size").alias("size_a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("size").alias("size_b"), F.col("grams").alias("grams_b"))
-    loaded = pairs.join(left, "a").join(right, "b").select("a", "b", "size_a", "size_b", "grams_a", "grams_b")
+    left, right = (
+        sets.select(F.col("set_id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "matches", "grams", "prefix")])
+        for x in ("a", "b")
+    )
+    loaded = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "size_a", "size_b", F.least("matches_a", "matches_b"), "grams_a", "grams_b", "prefix_a", "prefix_b"
+    )
     return loaded.mapInArrow(check, "a long, b long")
 
 
 def link_classes(docs: DataFrame, scratch: Scratch, n: int, percent: int, bits: int | None = None) -> DataFrame:
     """(set_id, label): the linked classes, each with its component's smallest set_id."""
     if bits is None:
-        bits = max(4, int(docs.rdd.getNumPartitions() - 1).bit_length() - 1)
+        bits = max(4, int(docs.rdd.getNumPartitions() - 1).bit_length())
     shared = _shared(_packs(docs, n, bits), bits)
     sets = scratch.keep(_survivors(shared, bits, percent), "sets")
-    postings = sets.select("set_id", "size", "shared", "matches", F.explode("prefix").alias("gram"))
+    postings = sets.select(
+        "set_id", "size", "shared", "matches", F.posexplode("prefix").alias("at", "gram")
+    ).withColumn("rank", F.expr("size - shared + at + 1")).drop("at")
     hubs = (
         postings.groupBy("gram")
         .agg(F.min(F.struct(F.expr("size - shared").alias("rest"), "set_id", "size", "shared")).alias("hub"),
@@ -299,11 +321,9 @@ def link_classes(docs: DataFrame, scratch: Scratch, n: int, percent: int, bits:
     open_ = scratch.keep(known.join(split.select("gram"), "gram", "left_semi"), "open")
     pairs = (
         open_.alias("a").join(open_.alias("b"), "gram")
-        .where(f"a.set_id < b.set_id and a.label <> b.label and {_can_link(percent)}")
-        .groupBy(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
-        .agg(F.count("*").alias("common"), F.first(F.least("a.matches", "b.matches")).alias("needed"))
-        .where("common >= needed")
-        .select("a", "b")
+        .where(f"a.set_id < b.set_id and a.label <> b.label and {_can_link(percent)} and {_early(percent)}")
+        .select(F.col("a.set_id").alias("a"), F.col("b.set_id").alias("b"))
+        .distinct()
     )
     rest = scratch.keep(_verified(pairs, sets, percent), "rest-links")
     return components(links.unionByName(rest), scratch, "all").withColumnRenamed("id", "set_id")
