@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.pieces import BLOCK_BYTES, PieceEncoder
+from siltstone.llm.pieces import PieceEncoder
 from siltstone.llm.scratch import Scratch
 from siltstone.llm.words import Words, blocks, mixed, spans, windows
 
 WINDOW = 5
+BLOCK_BYTES = 3 << 19
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _MEASURES = "chars_per_token double, byte_share double, entropy double"
 MEASURES = ("chars_per_token", "byte_share", "entropy")

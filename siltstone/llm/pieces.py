@@ -13,8 +13,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 6 << 20
-CACHE_PIECES = 600_000
+BLOCK_BYTES = 3 << 20
+CACHE_PIECES = 200_000
 WORDS = 50
 
 def _alphabet() -> dict[int, int]:

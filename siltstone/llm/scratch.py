@@ -40,11 +40,19 @@ class Scratch:
         return self.spark.read.schema(schema).parquet(path)
 
 
+BATCH_ROWS = 2000
+BATCH_BYTES = 8 << 20
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this subpackage to the Python workers, once per Spark application."""
+    """Sends this subpackage to the Python workers, once per Spark application.
+
+    It also bounds the batches that go to them in the session, by rows and bytes: texts
+    can be long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

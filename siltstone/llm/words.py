@@ -8,12 +8,13 @@ with one multiplier per place.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -74,6 +75,16 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         stop = min(rows, max(stop, row + 1))
         yield row, stop, raw[ends[row] : ends[stop]], ends[row : stop + 1] - ends[row]
         row = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers are used again, and share a machine's limit."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 class Words:
