@@ -123,6 +123,10 @@ class Store:
         chosen = batch or self._latest_or_fail(layer, table)
         return self._load(layer, table, chosen, self._current(layer, table, chosen))
 
+    def has_current(self, layer: str, table: str, batch: str) -> bool:
+        """Whether any row is current as of a batch; days without deliveries leave none behind."""
+        return bool(self._current(layer, table, batch))
+
     def _current(self, layer: str, table: str, batch: str) -> list[str]:
         """Directories of the current rows: the batch's own, or per date the last one written."""
         base = self.path(layer, table)
@@ -137,7 +141,14 @@ class Store:
         return sorted(newest.values())
 
     def _load(self, layer: str, table: str, newest: str, directories: list[str]) -> DataFrame:
-        # The newest batch knows every column; older files read as NULL in new ones.
+        # The newest batch with rows knows every column; older files read as NULL in new ones.
+        # A batch without rows has no file that could tell its columns.
+        if directories:
+            newest = _batch_of(max(directories, key=_batch_of))
+        else:
+            filled = {_batch_of(p) for p in paths.children(self.spark, self.path(layer, table), f"{_BATCH}=*/{_FLAG}=*")}
+            filled &= set(self.batches(layer, table))
+            newest = max(filled, default=newest)
         known = self.read(layer, table, newest).schema
         fields = [f for f in known.fields if f.name != _FLAG]
         schema = T.StructType(

@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="siltstone-shared-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="siltstone-wh-"))
         .getOrCreate()
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -28,6 +29,8 @@ def scratch(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/siltstone-{uuid.uuid4().hex}"
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="siltstone-")
 
 
@@ -39,7 +42,7 @@ def _event_snapshots(spark, directory) -> str:
     events = table(spark, directory, "events")
     root = f"{scratch(spark)}/events"
     named = events.withColumn("day", F.concat(F.date_format("ts", "yyyyMMdd"), F.lit(".parquet")))
-    write_table(named, root, partition_by=["day"])
+    write_table(named.hint("rebalance", "day"), root, partition_by=["day"])
     return root
 
 
