@@ -157,7 +157,7 @@ class WaveletShard:
 
 
 def write_shards(
-    docs: DataFrame, tokenizer: str, scratch: Scratch, *, end_id: int = 2, bits: int = 16, shard_tokens: int = 1 << 20
+    docs: DataFrame, tokenizer: str, scratch: Scratch, *, end_id: int = 2, bits: int = 16, shard_tokens: int = 1 << 19
 ) -> DataFrame:
     """Writes all rows' tokens in ascending doc_id order; (part, shard, tokens, image) of each shard, as read back.
 
