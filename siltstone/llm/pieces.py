@@ -8,6 +8,7 @@ text repeats its pieces, so each block is encoded as a dictionary of distinct on
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -63,6 +64,22 @@ def cuts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begin)
 
 
+@functools.lru_cache(maxsize=1)
+def _loaded(path: str) -> tuple:
+    """A file's tokenizer, its bare model, the ids of a line break and its tokens' lengths; once per worker."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    tokenizer = Tokenizer.from_file(path)
+    model = Tokenizer(tokenizer.model)
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    end = np.array(tokenizer.encode("\n", add_special_tokens=False).ids, np.uint32)
+    words = tokenizer.get_vocab()
+    lengths = np.zeros(max(words.values()) + 1, np.int64)
+    for word, number in words.items():
+        lengths[number] = len(word)
+    return tokenizer, model, end, lengths
+
+
 class PieceEncoder:
     """Encodes rows with one byte-level BPE file; special strings in texts as that file says.
 
@@ -72,16 +89,7 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = Tokenizer(self.tokenizer.model)
-        self.model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.end = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, np.uint32)
-        words = self.tokenizer.get_vocab()
-        self.lengths = np.zeros(max(words.values()) + 1, np.int64)
-        for word, number in words.items():
-            self.lengths[number] = len(word)
+        self.tokenizer, self.model, self.end, self.lengths = _loaded(path)
         self._forget()
 
     def _forget(self) -> None:
