@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The columns of a history table beside the business columns.
 HISTORY_COLUMNS = ("_record_hash", "_effective_from", "_effective_to", "_is_current", "_batch_id")
 
 # Fixed values of the delimited encoding.

@@ -147,6 +147,88 @@ def scd2_merge(
     return merged.unionByName(closed_rows(existing), allowMissingColumns=True)
 
 
+def scd2_merge_all(
+    existing: DataFrame | None,
+    deliveries: Sequence[tuple[DataFrame, object, str]],
+    key: Sequence[str],
+    *,
+    hash_exclude: Iterable[str] = (),
+    hash_encoding: str = "json",
+    absent: str = "keep",
+) -> DataFrame:
+    """The whole history table after several batches ``(rows, at, batch_id)``, oldest first.
+
+    The same rows as one ``scd2_merge`` after the other, but every delivery is read once
+    and all of them are shuffled once: a backfill of N days costs N scans. A version
+    begins where the hash differs from the key's row before it, and ends where the next
+    one begins; with ``absent='close'`` also at the first batch without the key. Nothing
+    but the rows of one key, one for each batch at most, meets in a window group.
+    """
+    if absent not in ("keep", "close"):
+        raise ValueError(f"absent must be keep or close, not {absent!r}")
+    if not deliveries:
+        raise ValueError("no delivery to merge")
+    stamped = [stamp(df, at, batch, hash_exclude, hash_encoding) for df, at, batch in deliveries]
+    current = None if existing is None else current_rows(existing)
+    sides = ([(_CURRENT, current)] if current is not None else []) + list(enumerate(stamped, 1))
+    rows = None
+    for number, frame in sides:
+        _require_key(key, frame, f"delivery {number}" if number else "current")
+        side = frame.withColumn("_side", F.lit(number))
+        if rows is not None:
+            _require_same_types(rows, side)
+            side = rows.unionByName(side, allowMissingColumns=True)
+        rows = side
+
+    by_key = Window.partitionBy(*key).orderBy("_side")
+    group = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.select(
+        "*",
+        F.lag("_side").over(by_key).alias("_side_before"),
+        F.lag("_record_hash").over(by_key).alias("_hash_before"),
+        F.max("_side").over(group).alias("_last_side"),
+        F.max(F.when(F.col("_side") == _CURRENT, F.col("_effective_from"))).over(group).alias("_since"),
+    )
+    # The guards test values computed by the window alone, as in merge_current.
+    null_key = F.lit(False)
+    for name in key:
+        null_key = null_key | F.col(name).isNull()
+    begins = F.col("_side_before").isNull() | ~F.col("_hash_before").eqNullSafe(F.col("_record_hash"))
+    ended_by = F.col("_side")
+    if absent == "close":
+        begins = begins | (F.col("_side_before") + 1 < F.col("_side"))
+        ended_by = F.col("_side_before") + 1
+    guarded = (
+        F.when(null_key, _fail(f"NULL in key {list(key)}"))
+        .when(F.col("_side_before") == F.col("_side"), _fail(f"duplicate key {list(key)}"))
+        .otherwise(begins)
+    )
+    starts = rows.filter(guarded).withColumn("_ended_by", F.lead(ended_by).over(by_key))
+    end = F.col("_ended_by")
+    if absent == "close":
+        gone = F.when(F.col("_last_side") < len(deliveries), F.col("_last_side") + 1)
+        end = F.coalesce(end, gone)
+    closed_at = F.element_at(F.array(*[_instant(at) for _, at, _ in deliveries]), end)
+    late = F.raise_error(F.lit("batch is older than a version it would close")).cast("timestamp")
+    began = F.when(F.col("_side") == _CURRENT, F.col("_since")).otherwise(
+        F.element_at(F.array(*[_instant(at) for _, at, _ in deliveries]), F.greatest("_side", F.lit(1)))
+    )
+    changed = {
+        "_effective_to": F.when(end.isNotNull(), F.when(began > closed_at, late).otherwise(closed_at)),
+        "_is_current": end.isNull(),
+    }
+    names = [c for c in rows.columns if c in _all_names(sides) and c not in HISTORY_COLUMNS]
+    columns = names + list(HISTORY_COLUMNS)
+    merged = starts.select(*[changed.get(c, F.col(c)).alias(c) for c in columns])
+    if existing is None:
+        return merged
+    return merged.unionByName(closed_rows(existing), allowMissingColumns=True)
+
+
+def _all_names(sides: Sequence[tuple[int, DataFrame]]) -> set[str]:
+    return {name for _, frame in sides for name in frame.columns}
+
+
 def as_of(df: DataFrame, instant) -> DataFrame:
     """Versions valid at an instant."""
     moment = _instant(instant)

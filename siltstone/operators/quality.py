@@ -12,7 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -295,6 +295,13 @@ def check_schema_conformance(
     return df.sparkSession.createDataFrame([row], schema)
 
 
+def missing_feed(spark: SparkSession, feed: str, label: str = "") -> DataFrame:
+    """The failed check of a feed that delivered nothing."""
+    row = ("delivery", label, feed, False, f"No data from {feed} [FAIL]")
+    schema = "check string, label string, feed string, passed boolean, message string"
+    return spark.createDataFrame([row], schema)
+
+
 # --- report ---------------------------------------------------------------------------
 
 

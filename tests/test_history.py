@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions.hashing import record_hash
 from siltstone.operators.evolve import evolve
-from siltstone.operators.history import as_of, closed_rows, current_rows, merge_current, scd2_merge
+from siltstone.operators.history import as_of, closed_rows, current_rows, merge_current, scd2_merge, scd2_merge_all
 
 DAYS = [datetime(2026, 5, 26), datetime(2026, 5, 27), datetime(2026, 5, 28)]
 SCHEMA = "k int, a string, b string"
@@ -192,3 +192,45 @@ def test_as_of_picks_half_open_intervals(spark):
     table = merged(spark, [[(1, "x", "y")], [(1, "z", "y")]])
     assert [r.a for r in as_of(table, DAYS[0]).collect()] == ["x"]
     assert [r.a for r in as_of(table, DAYS[1]).collect()] == ["z"]
+
+
+_ROWS = st.lists(
+    st.tuples(st.integers(1, 4), st.sampled_from(["x", "y"]), st.none()),
+    unique_by=lambda row: row[0], max_size=4,
+)
+
+
+@pytest.mark.parametrize("absent", ["keep", "close"])
+@pytest.mark.parametrize("before", [0, 1])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(days=st.lists(_ROWS, min_size=3, max_size=3))
+def test_deliveries_merged_together_or_one_by_one(spark, days, before, absent):
+    existing = merged(spark, days[:before], absent=absent)
+    later = [(frame(spark, days[i]), DAYS[i], f"b{i}") for i in range(before, 3)]
+    together = scd2_merge_all(existing, later, ["k"], absent=absent)
+    assert versions(together) == versions(merged(spark, days, absent=absent))
+
+
+@pytest.mark.parametrize("days, error", [
+    ([[(1, "x", None)], [(2, "x", None), (2, "y", None)]], "duplicate key"),
+    ([[(1, "x", None)], [(None, "x", None)]], "NULL in key"),
+])
+def test_deliveries_merged_together_guard_their_keys(spark, days, error):
+    deliveries = [(frame(spark, rows), DAYS[i], f"b{i}") for i, rows in enumerate(days)]
+    with pytest.raises(PySparkException, match=error):
+        scd2_merge_all(None, deliveries, ["k"]).collect()
+
+
+def test_deliveries_merged_together_guard_their_order(spark):
+    deliveries = [(frame(spark, [(1, a, None)]), DAYS[i], f"b{i}") for i, a in ((1, "x"), (0, "y"))]
+    with pytest.raises(PySparkException, match="older"):
+        scd2_merge_all(None, deliveries, ["k"]).collect()
+
+
+def test_five_deliveries_are_one_shuffle(spark, tmp_path):
+    frame(spark, [(1, "x", "y")]).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    deliveries = [(rows, datetime(2026, 5, day), f"b{day}") for day in range(1, 6)]
+    plan = scd2_merge_all(None, deliveries, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 5
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -130,8 +130,8 @@ def test_wide_table_has_202_columns(spark):
     wide = wide_frame(tables["positions"], POSITIONS, tables, DOMAINS, WIDE_JOINS, WIDE_EXCLUDED, AT)
     assert len(wide.columns) == len(set(wide.columns)) == 202
     assert {"security_currency", "security_created_timestamp"} <= set(wide.columns)
-    only = wide_frame(tables["positions"], POSITIONS, {}, DOMAINS, WIDE_JOINS, WIDE_EXCLUDED, AT)
-    assert len(only.columns) == 66
+    with pytest.raises(ValueError, match="no table for join domain security"):
+        wide_frame(tables["positions"], POSITIONS, {}, DOMAINS, WIDE_JOINS, WIDE_EXCLUDED, AT)
 
 
 def test_provenance_paths(spark):

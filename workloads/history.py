@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions.hashing import record_hash
 from siltstone.operators.evolve import evolve
-from siltstone.operators.history import as_of, closed_rows, current_rows, merge_current, scd2_merge
+from siltstone.operators.history import as_of, closed_rows, current_rows, merge_current, scd2_merge, scd2_merge_all
 from siltstone.operators.project import snapshot
 from workloads.consolidation import ORDER_COLUMNS, order_columns
 from workloads.registry import DAY1, DAY2, DAY3, register, table
@@ -64,16 +64,13 @@ def delivery(orders, day: int):
     return base.filter("o_orderpriority <> '5-LOW'") if day == 2 else base
 
 
+_AT = {1: DAY1, 2: DAY2, 3: DAY3}
+
+
 def history(orders, *days: int, **options):
-    """The history table after the given days, merged one after the other."""
-    options = {"hash_encoding": "delimited", **options}
-    table_so_far = None
-    for day in days:
-        at = {1: DAY1, 2: DAY2, 3: DAY3}[day]
-        table_so_far = scd2_merge(
-            table_so_far, delivery(orders, day), KEY, at, f"b{day}", **options
-        )
-    return table_so_far
+    """The history table after the given days, merged together."""
+    deliveries = [(delivery(orders, day), _AT[day], f"b{day}") for day in days]
+    return scd2_merge_all(None, deliveries, KEY, **{"hash_encoding": "delimited", **options})
 
 
 @register(f"WITH {_versions(1)} SELECT * FROM versions")
@@ -83,7 +80,10 @@ def scd2_initial(spark, directory):
 
 @register(f"WITH {_versions(1, 2)} SELECT * FROM versions")
 def scd2_merge_orders(spark, directory):
-    return history(table(spark, directory, "orders"), 1, 2)
+    orders = table(spark, directory, "orders")
+    return scd2_merge(
+        history(orders, 1), delivery(orders, 2), KEY, DAY2, "b2", hash_encoding="delimited"
+    )
 
 
 @register(f"WITH {_versions(1, 2, 3)} SELECT * FROM versions")
@@ -95,9 +95,9 @@ def scd2_three_days(spark, directory):
 def scd2_rerun(spark, directory):
     """The same delivery again, under another batch name and later: nothing changes."""
     orders = table(spark, directory, "orders")
-    return scd2_merge(
-        history(orders, 1, 2), delivery(orders, 2), KEY, DAY3, "again", hash_encoding="delimited"
-    )
+    deliveries = [(delivery(orders, day), _AT[day], f"b{day}") for day in (1, 2)]
+    deliveries.append((delivery(orders, 2), DAY3, "again"))
+    return scd2_merge_all(None, deliveries, KEY, hash_encoding="delimited")
 
 
 @register(f"""WITH {_versions(1, 2)}

@@ -245,8 +245,11 @@ UNION ALL SELECT 'referential_integrity', 'positions_security', true,
   'Orphan security_id values: 0 [PASS]' FROM n
 UNION ALL SELECT 'referential_integrity', 'positions_risk_analytics', orphans = 0,
   concat('Orphan position_id, as_of_date values: ', orphans,
-         CASE WHEN orphans = 0 THEN ' [PASS]' ELSE ' [FAIL]' END) FROM n""")
+         CASE WHEN orphans = 0 THEN ' [PASS]' ELSE ' [FAIL]' END) FROM n
+UNION ALL SELECT 'delivery', 'positions', false,
+  'No data from accounting_system_beta [FAIL]' FROM n""")
 def daily_report(spark, directory):
+    """The report of day 2, with a failed check for the feed that did not arrive."""
     _, report = _two_days(spark, directory)
     return report.drop("details")
 

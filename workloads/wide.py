@@ -74,19 +74,18 @@ def gold_fanout_split(spark, directory):
 
 
 @register("""
-SELECT s.nation, s.s_suppkey, c.c_custkey, c.c_mktsegment
-FROM (SELECT CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS nation, s_suppkey FROM supplier) s
-LEFT JOIN customer c ON s.nation = c.c_nationkey""")
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, l.l_linenumber, l.l_quantity
+FROM (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_custkey,
+        o_totalprice FROM orders) o
+LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey""")
 def gold_fanout_null_keys(spark, directory):
     """Base rows without a key stay, unmatched."""
-    suppliers = table(spark, directory, "supplier").selectExpr(
-        "CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS nation", "s_suppkey"
+    orders = table(spark, directory, "orders").selectExpr(
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey", "o_custkey", "o_totalprice"
     )
-    customers = table(spark, directory, "customer").selectExpr(
-        "c_nationkey AS nation", "c_custkey", "c_mktsegment"
-    )
-    return left_join_fan_out(suppliers, customers, ["nation"]).select(
-        "nation", "s_suppkey", "c_custkey", "c_mktsegment"
+    lines = _lines(spark, directory).drop("l_shipdate")
+    return left_join_fan_out(orders, lines, ["o_orderkey"]).select(
+        "o_orderkey", "o_custkey", "o_totalprice", "l_linenumber", "l_quantity"
     )
 
 
