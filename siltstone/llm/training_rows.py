@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -19,8 +19,9 @@ def sampled_ids(labels: DataFrame, label: str, folds: int, held_out: int, per_cl
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known.where(fold("doc_id", folds) != held_out)
     one = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return one.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class).drop("place")
+    # A top-k per class keeps at most ``per_class`` rows of every task; a window would sort a whole class in one.
+    classes = [one.where(F.col("label") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for x in (0, 1)]
+    return classes[0].unionAll(classes[1])
 
 
 def sampled_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
