@@ -11,6 +11,7 @@ scripts) or that repeats itself lies outside.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from siltstone.llm.scratch import Scratch
 from siltstone.llm.words import Words, blocks, mixed, spans, windows
 
 WINDOW = 5
-BLOCK_BYTES = 3 << 19
+BLOCK_BYTES = 3 << 18
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 _MEASURES = "chars_per_token double, byte_share double, entropy double"
 MEASURES = ("chars_per_token", "byte_share", "entropy")
@@ -83,14 +84,20 @@ def base_counts(raw: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
     return [counts, chars, symbols, duplicates, repeats]
 
 
+@functools.lru_cache(maxsize=1)
+def _pieces(path: str) -> tuple:
+    """A piece vocabulary's processor and whether each of its ids is a byte; once per worker."""
+    import sentencepiece
+
+    processor = sentencepiece.SentencePieceProcessor(model_file=path)
+    return processor, np.array([processor.IsByte(i) for i in range(processor.GetPieceSize())])
+
+
 class _Fertility(PieceEncoder):
     """Also counts, per piece, the tokens and the byte tokens of the piece vocabulary."""
 
     def __init__(self, path: str, pieces_path: str):
-        import sentencepiece
-
-        self.processor = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        self.is_byte = np.array([self.processor.IsByte(i) for i in range(self.processor.GetPieceSize())])
+        self.processor, self.is_byte = _pieces(pieces_path)
         super().__init__(path)
 
     def _forget(self) -> None:

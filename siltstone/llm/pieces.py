@@ -9,12 +9,13 @@ text repeats its pieces, so each block is encoded as a dictionary of distinct on
 from __future__ import annotations
 
 import functools
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 CACHE_PIECES = 200_000
 WORDS = 50
 
@@ -67,6 +68,8 @@ def cuts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
 @functools.lru_cache(maxsize=1)
 def _loaded(path: str) -> tuple:
     """A file's tokenizer, its bare model, the ids of a line break and its tokens' lengths; once per worker."""
+    # A Spark task has one core; threads beyond it only hold memory.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
