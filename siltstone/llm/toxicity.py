@@ -38,11 +38,12 @@ _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 def subwords(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of the pieces (lower case, blanks off, marked ends), and each piece's offset."""
-    joined = b"".join(b"\x02" + x.strip(b" \t\n\r\x0b\x0c") + b"\x03" for x in pieces)
-    raw = _LOWER[np.frombuffer(joined, np.uint8)].astype(np.uint64)
-    first = np.flatnonzero(raw == 2)
-    owner = np.cumsum(raw == 2) - 1
-    last = np.append(first[1:], len(raw))[owner]
+    marked = [b"\x02" + x.strip(b" \t\n\r\x0b\x0c") + b"\x03" for x in pieces]
+    raw = _LOWER[np.frombuffer(b"".join(marked), np.uint8)].astype(np.uint64)
+    # By lengths: a text may hold the marks itself.
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    owner = np.repeat(np.arange(len(marked)), sizes)
+    last = np.cumsum(sizes)[owner]
     found, owners = [], []
     for size in SIZES:
         if len(raw) < size:

@@ -5,12 +5,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from siltstone.llm import adaptive_scan, chat_windows, fertility, html_text, mixture, ngram_join, packing, toxicity, wavelet
 from siltstone.llm.queries import ORACLES, QUERIES, tokenizer_path
 from siltstone.llm.scratch import Scratch, ship
+from siltstone.llm.words import blocks
 from tests import oracle
 
 TABLES = "/root/testdata/sf0.001"
@@ -211,6 +213,35 @@ def test_classifiers_on_held_out_rows(spark):
         assert right >= (0.95 if label == "quality" else 0.6), (name, right)
 
 
+def _toxicity_model(blank=" ", bad=("vile", "scum", "idiot"), good=("river", "garden", "music", "window", "paper", "bread")):
+    """A model of texts of 24 words, of which a toxic one has six bad ones."""
+    rng = random.Random(3)
+    rows = []
+    for at in range(120):
+        words = [rng.choice(good) for _ in range(24)]
+        if at % 2:
+            words[9:15] = [rng.choice(bad) for _ in range(6)]
+        rows.append((blank.join(words), at % 2))
+    return toxicity.train([x for x, _ in rows], [y for _, y in rows])
+
+
+def _toxicity_scores(model, texts):
+    column = pa.array(texts, pa.string())
+    return np.concatenate([model.scores(raw, ends) for _, _, raw, ends in blocks(column)])
+
+
+def test_toxicity_of_a_text_does_not_depend_on_marks_in_others():
+    buckets, bounds = toxicity.subwords([b"a\x02\x02b", b"bb", b"cc"])
+    for at, piece in ((1, b"bb"), (2, b"cc")):
+        assert (buckets[bounds[at] : bounds[at + 1]] == toxicity.subwords([piece])[0]).all()
+    model = _toxicity_model()
+    toxic, clean = "river vile scum idiot vile scum idiot garden", "river garden music window paper bread river"
+    alone = [_toxicity_scores(model, [x])[0] for x in (toxic, clean)]
+    assert alone[0] > 0.5 > alone[1]
+    for odd in ("\x02", "an \x02\x02 odd\x02 page", "\x03\x02\x03"):
+        assert np.allclose(_toxicity_scores(model, [odd, toxic, clean])[1:], alone)
+
+
 def test_empty_tables_give_no_rows(spark, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert ngram_join.ngram_components(empty).count() == 0
