@@ -1,7 +1,9 @@
 """Toxicity by subword-bag embeddings under a linear softmax, trained jointly in numpy.
 
-A piece of text (a word with its blank, or marks) is a bag of its character n-grams, so a
-misspelt word shares most of its vectors with the word. A window of pieces is the mean
+A piece of text (a word, a part of a very long one, or marks) is a bag of its character
+n-grams, so a misspelt word shares most of its vectors with the word. Pieces end at white
+space of any kind and length and have a greatest length, so that a window is short in
+every script. A window of pieces is the mean
 of its vectors; embeddings and softmax are trained together on windows of a bounded
 sample of labelled documents. A document's label says only that some of its windows are
 toxic: after a first epoch on all, those of a toxic document that score below its best
@@ -22,23 +24,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.pieces import cuts
 from siltstone.llm.training_rows import fold, sampled_ids, sampled_rows
 from siltstone.llm.words import blocks
 
 BUCKET_BITS = 17
 SIZES = (3, 4, 5)
 PIECES = 24
+#: Longest piece; a character of three or four bytes, often a syllable or a word, counts as four.
+LONGEST = 24
 _SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+#: White space beyond ASCII, in UTF-8.
+_WIDE_SPACE = ["\x85\xa0", "\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))]
+_WIDE_SPACE = [np.array([list(x.encode()) for x in part], np.uint8) for part in _WIDE_SPACE]
+#: What the byte that begins a character adds to a piece's length.
+_LENGTH = np.ones(256, dtype=np.int64)
+_LENGTH[0x80:0xC0] = 0
+_LENGTH[0xE0:] = 4
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = True
+_MARKS = np.zeros(256, dtype=bool)
+_MARKS[[ord(x) for x in ",.;:!?)"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
 def subwords(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of the pieces (lower case, blanks off, marked ends), and each piece's offset."""
-    marked = [b"\x02" + x.strip(b" \t\n\r\x0b\x0c") + b"\x03" for x in pieces]
+    """Buckets of all n-grams of the pieces (lower case, marked ends), and each piece's offset."""
+    marked = [b"\x02" + x + b"\x03" for x in pieces]
     raw = _LOWER[np.frombuffer(b"".join(marked), np.uint8)].astype(np.uint64)
     # By lengths: a text may hold the marks itself.
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
@@ -63,13 +77,49 @@ def subwords(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buckets[order].astype(np.int64), np.concatenate([[0], np.cumsum(counts)])
 
 
+def _blank(raw: np.ndarray) -> np.ndarray:
+    """Whether each byte belongs to white space."""
+    blank = _SPACE[raw]
+    for kinds, lead in zip(_WIDE_SPACE, (raw == 0xC2, (raw >= 0xE1) & (raw <= 0xE3)), strict=True):
+        width = kinds.shape[1]
+        at = np.flatnonzero(lead[: max(len(raw) - width + 1, 0)])
+        for kind in kinds:
+            own = at[np.logical_and.reduce([raw[at + i] == kind[i] for i in range(width)])]
+            for i in range(width):
+                blank[own + i] = True
+    return blank
+
+
+def _split(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes without white space, each piece's offset among them, and each row's among the pieces.
+
+    Pieces begin at rows' starts, after white space, at marks after an ASCII letter, and
+    where the piece before has the greatest length.
+    """
+    solid = ~_blank(raw)
+    begin = solid.copy()
+    begin[1:] = solid[1:] & (~solid[:-1] | (_MARKS[raw[1:]] & _LETTER[raw[:-1]]))
+    edges = ends[ends < len(raw)]
+    begin[edges] = solid[edges]
+    kept = np.flatnonzero(solid)
+    raw, begin = raw[kept], begin[kept]
+    length = _LENGTH[raw]
+    before = np.cumsum(length) - length
+    starts = np.flatnonzero(begin)
+    part = (before - np.repeat(before[starts], np.diff(np.append(starts, len(raw))))) // LONGEST
+    letters = np.flatnonzero(length)
+    begin[letters[1:][part[letters[1:]] != part[letters[:-1]]]] = True
+    starts = np.flatnonzero(begin)
+    return raw, starts, np.searchsorted(kept[starts], ends)
+
+
 def _distinct(raw: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct pieces of a block, the number of each piece in order, and each row's offset among them."""
-    starts = cuts(raw, ends)
+    raw, starts, first = _split(raw, ends)
     offsets = np.append(starts, len(raw)).astype(np.int32)
     data = pa.py_buffer(np.ascontiguousarray(raw))
     coded = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), data]).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, ends)
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False), first
 
 
 @dataclass(frozen=True)
@@ -84,6 +134,8 @@ class ToxicityModel:
         if not len(raw):
             return np.full(len(ends) - 1, 1 / (1 + np.exp(-self.bias)))
         pieces, place, first = _distinct(raw, ends)
+        if not len(place):
+            return np.full(len(ends) - 1, 1 / (1 + np.exp(-self.bias)))
         buckets, bounds = subwords(pieces)
         sums = np.concatenate([[0.0], np.cumsum(self.weights[buckets], dtype=np.float64)])
         weight, count = (sums[bounds[1:]] - sums[bounds[:-1]])[place], np.diff(bounds)[place]
@@ -111,6 +163,8 @@ def train(
         if not len(raw):
             continue
         pieces, place, first = _distinct(raw, ends)
+        if not len(place):
+            continue
         buckets, bounds = subwords(pieces)
         for row in range(len(ends) - 1):
             for at in range(first[row], first[row + 1], PIECES):

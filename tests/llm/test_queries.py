@@ -242,6 +242,35 @@ def test_toxicity_of_a_text_does_not_depend_on_marks_in_others():
         assert np.allclose(_toxicity_scores(model, [odd, toxic, clean])[1:], alone)
 
 
+@pytest.mark.parametrize("blank", ["\t", "  ", "\r\n", "\u3000", "\u00a0 "])
+def test_toxic_passage_shows_whatever_the_white_space(blank):
+    model = _toxicity_model()
+    clean = ["river", "garden", "music", "window", "paper", "bread"] * 500
+    toxic = [*clean[:1500], *["vile", "scum", "idiot"] * 3, *clean[1500:]]
+    scores = _toxicity_scores(model, [blank.join(toxic), blank.join(clean), blank * 9])
+    assert scores[0] > 0.5 > scores[1] and (scores == _toxicity_scores(model, [" ".join(toxic), " ".join(clean), ""])).all()
+
+
+def test_toxic_passage_shows_in_a_text_without_white_space():
+    good, bad = ("河流经过花园", "音乐从窗外来", "面包放在纸上", "孩子们读书"), ("恶毒的蠢货", "卑鄙的败类")
+    model = _toxicity_model("", bad, good)
+    rng = random.Random(5)
+    clean = [rng.choice(good) for _ in range(3000)]
+    toxic = [*clean[:1500], *(rng.choice(bad) for _ in range(8)), *clean[1500:]]
+    scores = _toxicity_scores(model, ["".join(toxic), "".join(clean)])
+    assert scores[0] > 0.5 > scores[1]
+
+
+def test_toxicity_pieces_are_short_and_whole():
+    texts = ["", "  a,b \u3000x" + "y" * 99, "\u2003 \u00a0", "é" * 50 + "日本語" * 20 + " \U0001f600" * 2, None, "\x1fz"]
+    for _, _, raw, ends in blocks(pa.array(texts, pa.string())):
+        pieces, place, first = toxicity._distinct(raw, ends)
+        for row, text in enumerate(texts):
+            own = [pieces[p].decode() for p in place[first[row] : first[row + 1]]]
+            assert "".join(own) == "".join((text or "").split()) and all(0 < len(x) <= 24 for x in own)
+            assert all(sum(4 if c > "\u07ff" else 1 for c in x) <= 24 + 3 for x in own)
+
+
 def test_empty_tables_give_no_rows(spark, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert ngram_join.ngram_components(empty).count() == 0
