@@ -40,19 +40,22 @@ _PACK = "part int, sets binary, sizes binary, counts binary, high binary, low bi
 _SHARED = "part int, sets binary, sizes binary, counts binary, grams binary, found binary"
 
 
-def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, set_id of every row; a null or wordless text has no shingle."""
+def signatures(docs: DataFrame, n: int, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``carried`` columns, n_shingles, set_id of every row; a null or wordless text has no shingle."""
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, raw, ends in blocks(batch.column(1)):
+            last = batch.num_columns - 1
+            for a, b, raw, ends in blocks(batch.column(last)):
                 values, bounds = shingle_sets(Words(raw, ends, True), n)
+                own = [batch.column(i)[a:b] for i in range(last)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], pa.array(np.diff(bounds)), pa.array(set_hashes(values, bounds))],
-                    ["doc_id", "n_shingles", "set_id"],
+                    [*own, pa.array(np.diff(bounds)), pa.array(set_hashes(values, bounds))],
+                    [*carried, "n_shingles", "set_id"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, n_shingles long, set_id long")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    return docs.select(*carried, "text").mapInArrow(sign, f"{kinds}, n_shingles long, set_id long")
 
 
 def _grouped(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[tuple[int, list[list[np.ndarray]]]]:
@@ -359,13 +362,38 @@ def ngram_components(docs: DataFrame, *, n: int = 5, percent: int = 75, bits: in
 
 
 def one_of_each(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text) whose doc_id is the smallest of their component, with all columns.
+    """One row of ``docs`` (doc_id, text) of each component, with all columns.
 
-    Rows without doc_id stay, and so do all rows that repeat a doc_id that stays.
+    It is that with the smallest doc_id, a null one last; among rows of one doc_id that
+    with the smallest hash of all columns, and of equal rows any. Rows whose text has no
+    words are like no other: all stay.
     """
-    found = ngram_components(docs, n=n, percent=percent)
-    copies = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    scratch = Scratch(docs.sparkSession)
+    # A key by content: it is the same however often and wherever a row is read.
+    values = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    keyed = docs.withColumn("_row", F.xxhash64(*values))
+    signed = scratch.keep(signatures(keyed, n, ("doc_id", "_row")), "row-signatures")
+    labels = link_classes(docs, scratch, n, percent)
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")
+    classes = (
+        signed.where("n_shingles > 0").groupBy("set_id")
+        .agg(F.min(first).alias("first"), F.count("*").alias("rows"))
+        .join(labels, "set_id", "left")
+        .where("rows > 1 or label is not null")
+        .withColumn("label", F.coalesce("label", "set_id"))
+    )
+    stays = classes.groupBy("label").agg(F.min("first").alias("stays"))
+    classes = classes.join(stays, "label").select("set_id", "stays.doc_id", "stays._row")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a._row") == F.col("b._row"))
+    grouped = signed.where("n_shingles > 0").alias("a").join(classes.alias("b"), "set_id")
+    # Keys of rows that go, and those of rows that stay once of several equal ones.
+    keys = grouped.groupBy("a.doc_id", "a._row").agg(F.max(same).alias("stays"), F.count("*").alias("rows"))
+    keys = scratch.keep(keys.where("not stays or rows > 1"), "row-keys")
+    rest = keyed.alias("a").join(keys.alias("b"), same, "left_anti").select(docs.columns)
+    if keys.where("stays").isEmpty():
+        return rest
+    once = keyed.alias("a").join(keys.where("stays").alias("b"), same, "left_semi").select(docs.columns).distinct()
+    return rest.unionByName(once)
 
 
 JOIN_SQL = r"""

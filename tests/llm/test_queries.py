@@ -81,6 +81,29 @@ def test_components_are_those_of_brute_force(spark, odd):
     assert Counter(map(tuple, found.collect())) == _brute_components(rows)
 
 
+def test_one_row_of_each_component_stays(spark):
+    base = [f"w{i}" for i in range(40)]
+    near, other, third = [*base[:39], "new"], [f"x{i}" for i in range(30)], [f"y{i}" for i in range(30)]
+    text, near, other, third = (" ".join(x) for x in (base, near, other, third))
+    rows = [
+        (3, text, "en"), (2, near, "en"), (2, near, "en"), (2, near, "fr"), (None, text, "en"), (None, text, None), (9, text.upper(), "en"),
+        (9, other, "en"),  # its doc_id has a copy of 2 too
+        (None, third, "de"), (None, third, "de"), (None, third + " z", None),
+        (4, None, "en"), (4, None, "en"), (5, " ", None), (None, "", None), (6, "alone", "en"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = ngram_join.one_of_each(docs)
+    assert found.columns == docs.columns
+    kept = Counter(map(tuple, found.collect()))
+    assert kept <= Counter(rows)
+    assert sum(kept[r] for r in {(2, near, "en"), (2, near, "fr")}) == 1
+    assert sum(kept[r] for r in {(None, third, "de"), (None, third + " z", None)}) == 1
+    groups = {text, near, text.upper(), third, third + " z"}
+    assert Counter(r for r in kept.elements() if r[1] not in groups) == Counter(r for r in rows if r[1] not in groups)
+    assert sum(kept.values()) == 8
+    assert ngram_join.one_of_each(docs.where("doc_id = 6 or doc_id = 4")).count() == 3
+
+
 def test_packing_and_index_hold_all_ids(spark, odd):
     tokenizer = Tokenizer.from_file(tokenizer_path(BPE))
     ids = [(r[0], np.array(tokenizer.encode(r[1] or "", add_special_tokens=False).ids, np.uint32)) for r in ODD]
