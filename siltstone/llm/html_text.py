@@ -4,8 +4,10 @@ Every page becomes a tree of elements. An element's density is its characters pe
 lowered by the share of characters and tags that lie in links. An element's sum is that
 of its children's densities; the subtree with the highest sum is the article's core. The
 lowest density on its path up to the body is the threshold that the core's neighbours
-along this path must reach to belong to the text too. Menus, headers, footers, asides,
-forms, adverts, notices, comments, scripts and styles are cut out before.
+along this path must reach to belong to the text too. Texts beside block elements count
+as blocks. Menus, headers, footers, asides, forms, adverts, comments, scripts and styles are
+cut out before; names that can as well belong to the article's own parts (header, notice)
+cut only outside the core.
 """
 
 from __future__ import annotations
@@ -43,52 +45,72 @@ ENDS = {
 #: Words of class, id and role names that mark what is not the article.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie "
-    "cookies consent gdpr notice notices notification notifications alert alerts modal popup overlay newsletter "
+    "cookies consent gdpr notification notifications modal popup overlay newsletter "
     "subscribe subscription signup comment comments commentlist disqus respond replies sidebar sidebars widget widgets "
     "menu menus nav navbar navigation navigationbar breadcrumb breadcrumbs pagination pager toolbar footer masthead "
-    "social share sharing related recommended recommendations login search toc hidden skip header complementary "
-    "contentinfo".split()
+    "social sharing recommended recommendations login toc skip complementary contentinfo".split()
 )
+#: Names that mark it only as a whole, and only outside the core.
+DOUBTFUL = frozenset("hidden header search notice notices related alert alerts share".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup header".split())
+#: What may stand in a head; anything else ends it.
+HEAD = frozenset("base link meta title style script noscript template noframes head".split())
+#: What runs on with the texts beside it.
+RUNS_ON = INLINE | frozenset("br img script style noscript template".split())
 KEPT = frozenset("html body main article".split())
 BODY_END = re.compile(r"[-_\s]+|(?<=[a-z])(?=[A-Z])")
 TAG = re.compile(
     r"<!--(?:>|->|[\s\S]*?(?:--!?>|\Z))|<(?:!\[CDATA\[[\s\S]*?(?:\]\]>|\Z)|[!?][^>]*(?:>|\Z)"
     r"|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))"
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=][^\s>/=]*)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>][^\s>]*)))?")
 
 
 class Node:
     """An element: its children are nodes and texts, in page order."""
 
-    __slots__ = ("name", "children", "parent", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "kept")
+    __slots__ = (
+        "name", "children", "parent", "cut", "doubt", "chars", "tags", "link_chars", "link_tags", "density", "total", "kept"
+    )
 
-    def __init__(self, name: str, parent: Node | None, cut: bool):
-        self.name, self.parent, self.cut, self.children = name, parent, cut, []
+    def __init__(self, name: str, parent: Node | None, cut: bool, doubt: bool = False):
+        self.name, self.parent, self.cut, self.doubt, self.children = name, parent, cut or doubt, doubt and not cut, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.kept = name in ("article", "main")
 
 
-def _is_cut(name: str, attributes: str, stack: list[Node]) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """Names, in lower case, and values of a tag's attributes; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), html.unescape("".join(values)))
+    return found
+
+
+def _is_cut(name: str, text: str, stack: list[Node]) -> tuple[bool, bool]:
+    """Whether an element is cut, and whether it is unless it lies in the core."""
     if name in DROPPED:
-        return True
+        return True, False
     if name == "header":
-        return not any(x.name in ("article", "main") for x in stack)
-    if not attributes or name in KEPT:
-        return False
-    for key, *values in ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), "".join(values)
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif key != "aria-hidden":
-            words = {x.lower() for x in BODY_END.split(value) if x}
-            if words & MARKS and not words & {"has", "with", "no", "without"}:
-                return True
-    return False
+        return not any(x.name in ("article", "main") for x in stack), False
+    if not text or name in KEPT:
+        return False, False
+    found = _attributes(text)
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true":
+        return True, False
+    for declared in found.get("style", "").lower().split(";"):
+        key, _, value = (x.strip() for x in declared.removesuffix("!important").partition(":"))
+        if (key, value.removesuffix("!important").strip()) in (("display", "none"), ("visibility", "hidden")):
+            return True, False
+    doubt = False
+    for key in ("class", "id", "role"):
+        value = found.get(key, "")
+        words = {x.lower() for x in BODY_END.split(value) if x}
+        if words & MARKS and not words & {"has", "with", "no", "without"}:
+            return True, False
+        doubt = doubt or bool(DOUBTFUL & set(value.lower().split()))
+    return False, doubt
 
 
 def parse(page: str) -> Node:
@@ -98,15 +120,15 @@ def parse(page: str) -> Node:
     while at < size:
         found = TAG.search(page, at)
         if found is None:
-            stack[-1].children.append(page[at:])
+            _add_text(stack, page[at:])
             break
         if found.start() > at:
-            stack[-1].children.append(page[at : found.start()])
+            _add_text(stack, page[at : found.start()])
         at = found.end()
         name = found.group(2)
         if name is None:
             if found.group().startswith("<![CDATA["):
-                stack[-1].children.append(html.escape(found.group()[9:].removesuffix("]]>"), quote=False))
+                _add_text(stack, html.escape(found.group()[9:].removesuffix("]]>"), quote=False))
             continue
         name = name.lower()
         if found.group(1):
@@ -123,11 +145,13 @@ def parse(page: str) -> Node:
             continue
         if name == "body":
             del stack[1:]
+        if stack[-1].name == "head" and name not in HEAD:
+            del stack[-1]
         if name in CLOSES_P:
             _close(stack, {"p"}, {"table", "td", "th", "button", "body"})
         if name in ENDS:
             _close(stack, *ENDS[name])
-        node = Node(name, stack[-1], _is_cut(name, found.group(3), stack))
+        node = Node(name, stack[-1], *_is_cut(name, found.group(3), stack))
         stack[-1].children.append(node)
         if name in VOID:
             continue
@@ -140,6 +164,13 @@ def parse(page: str) -> Node:
     return root
 
 
+def _add_text(stack: list[Node], text: str) -> None:
+    """Puts a text into the innermost element; a head ends before it."""
+    if stack[-1].name == "head" and text.strip():
+        del stack[-1]
+    stack[-1].children.append(text)
+
+
 def _close(stack: list[Node], names: set[str], bounds: set[str]) -> None:
     """Ends the innermost element of these names, and all within, unless one of ``bounds`` lies between."""
     found = 0
@@ -179,16 +210,52 @@ def _keep_holders(root: Node) -> None:
             node.cut = False
 
 
+def _wrap_texts(root: Node) -> None:
+    """Texts beside block elements become blocks of their own, with the inline elements between them."""
+    for node in _ordered(root):
+        loose = any(isinstance(x, str) and x.strip() for x in node.children)
+        if not loose or all(isinstance(x, str) or x.name in RUNS_ON for x in node.children):
+            continue
+        children: list[Node | str] = []
+        run: Node | None = None
+        for child in node.children:
+            if isinstance(child, Node) and child.name not in RUNS_ON:
+                run = None
+                children.append(child)
+                continue
+            if run is None:
+                run = Node("#text", node, False)
+                children.append(run)
+            run.children.append(child)
+            if isinstance(child, Node):
+                child.parent = run
+        node.children = children
+
+
+def _restore(root: Node) -> bool:
+    """Takes back all doubtful cuts within an element; whether there were any."""
+    todo, any_ = [root], False
+    while todo:
+        for child in todo.pop().children:
+            if isinstance(child, Node):
+                any_ = any_ or child.doubt
+                child.cut, child.doubt = child.cut and not child.doubt, False
+                if not child.cut:
+                    todo.append(child)
+    return any_
+
+
 def measure(nodes: list[Node], body: Node) -> None:
     """Counts of characters and tags, densities and sums of densities of all elements."""
     for node in reversed(nodes):
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
         link = node.name == "a"
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len("".join(child.split()))
             elif not child.cut:
                 node.chars += child.chars
-                node.tags += child.tags + 1
+                node.tags += child.tags + (child.name != "#text")
                 node.link_chars += child.link_chars
                 node.link_tags += child.link_tags + (child.name == "a")
         if link:
@@ -206,11 +273,26 @@ def measure(nodes: list[Node], body: Node) -> None:
         node.total += own / max(node.tags, 1)
 
 
+def _headings(root: Node) -> list[Node]:
+    """The outermost headings within an element, itself included."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.name in HEADINGS:
+            found.append(node)
+        else:
+            todo += [x for x in node.children if isinstance(x, Node) and not x.cut]
+    return found
+
+
 def chosen(root: Node) -> list[Node]:
     """The elements whose texts are the page's main text, in page order."""
+    _wrap_texts(root)
     nodes = _ordered(root)
     body = next((x for x in nodes if x.name == "body"), root)
     measure(nodes, body)
+    if not body.chars and _restore(root):
+        return chosen(root)
     inside = [x for x in nodes if x.chars and x.name not in INLINE] or [body]
     best = max(inside, key=lambda x: x.total)
     path = [best]
@@ -218,6 +300,7 @@ def chosen(root: Node) -> list[Node]:
         path.append(path[-1].parent)
     threshold = min(x.density for x in path)
     holders = [x for x in path if x.name == "article"] or [x for x in path if x.name == "main"]
+    _restore(holders[-1] if holders else best)
     if holders:
         return [holders[-1]]
     taken = {id(best)}
@@ -225,7 +308,7 @@ def chosen(root: Node) -> list[Node]:
         for child in outer.children:
             if child is inner or isinstance(child, str) or child.cut or not child.chars:
                 continue
-            heading = child.name in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "header")
+            heading = 2 * sum(x.chars for x in _headings(child)) >= child.chars
             linked = child.link_chars > 0.3 * child.chars
             if not linked and (child.density >= threshold or heading):
                 taken.add(id(child))

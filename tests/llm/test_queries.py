@@ -205,6 +205,47 @@ def test_html_text_takes_the_article_alone():
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
 
 
+LONG = "a sentence of the article that has quite a few words in it, as texts have"
+
+
+@pytest.mark.parametrize("tag", [
+    '<p title="hidden treasure">', '<p data-id="menu">', '<p data-hidden="1">', '<p data-x=\'a class="menu" b\'>',
+    '<p class="overflow-hidden">', '<p class="article-header">', '<p style="--display: none-such">', '<p class="header">',
+])
+def test_html_text_cuts_by_exact_names_only(tag):
+    page = f"<body><div id=content><p>First {LONG}.</p>{tag}Second {LONG}.</p><p>Third {LONG}.</p></div></body>"
+    assert html_text.main_text(page) == f"First {LONG}.\n\nSecond {LONG}.\n\nThird {LONG}."
+
+
+def test_html_text_keeps_links_headings_and_rows_of_the_core():
+    page = (
+        f'<body><div class="overflow-hidden"><div class="article-header"><h1>Title</h1></div><p>First {LONG}, '
+        f'<a href="/the-hidden-cost.html">a link</a> <a href="/x?id=menu">too</a>.</p><table><tr class="header"><th>Head</th></tr>'
+        f'<tr><td>Cell {LONG}</td></tr></table></div></body>'
+    )
+    assert html_text.main_text(page) == f"Title\n\nFirst {LONG}, a link too.\n\nHead\n\nCell {LONG}"
+
+
+@pytest.mark.parametrize("tag", [
+    "<div hidden>", "<div HIDDEN=''>", "<div class='header'>", "<div class='Big notice'>", "<div id=search>", "<div role=alert>",
+    "<div class='comments-list'>", "<div aria-hidden=true>", "<div style='color:red; display : none !important'>",
+])
+def test_html_text_cuts_what_is_marked_beside_the_core(tag):
+    page = f"<body>{tag}<p>Beside, {LONG}.</p></div><div id=content><p>First {LONG}.</p><p>Second {LONG}.</p></div></body>"
+    assert html_text.main_text(page) == f"First {LONG}.\n\nSecond {LONG}."
+
+
+def test_html_text_needs_no_end_of_head_and_takes_loose_texts():
+    text = f"First {LONG}.\n\nSecond {LONG}."
+    for head in ("<head><title>T</title><meta charset=x>", "<head><style>p{}</style><noscript><img></noscript>\n", "<head>"):
+        assert html_text.main_text(f"<html>{head}<p>First {LONG}.<p>Second {LONG}.") == text
+        assert html_text.main_text(f"<html>{head}Only {LONG}.") == f"Only {LONG}."
+    for loose in (f"Loose <i>and</i> {LONG}.", f"Loose<br>and {LONG}."):
+        page = f"<body>{loose}<div><p>First {LONG}.</p><p>Second {LONG}.</p><p>{LONG}</p></div><p>End {LONG}</p></body>"
+        assert html_text.main_text(page).startswith(f"Loose and {LONG}.\n\nFirst")
+    assert html_text.main_text(f"<body><div class=header><p>All {LONG}</p></div></body>") == f"All {LONG}"
+
+
 def test_neighbours_are_found(spark):
     rng = np.random.default_rng(2)
     vectors = rng.normal(size=(600, 16)) + rng.normal(size=(6, 16))[rng.integers(6, size=600)] * 3
