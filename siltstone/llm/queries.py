@@ -14,6 +14,7 @@ from siltstone.llm.html_text import extracted
 from siltstone.llm.mixture import MIXTURE_SQL, mixture
 from siltstone.llm.ngram_join import JOIN_SQL, ngram_components
 from siltstone.llm.packing import pack
+from siltstone.llm.personal_data import personal_data
 from siltstone.llm.quality_votes import quality_votes
 from siltstone.llm.scratch import ship
 from siltstone.llm.toxicity import toxicity
@@ -106,3 +107,8 @@ def op9_html_text(spark: SparkSession, directory: str) -> DataFrame:
 @register()
 def op10_adaptive_scan(spark: SparkSession, directory: str) -> DataFrame:
     return nearest_neighbours(table(spark, directory, "embeddings"))
+
+
+@register()
+def op11_personal_data(spark: SparkSession, directory: str) -> DataFrame:
+    return personal_data(table(spark, directory, "documents"))
