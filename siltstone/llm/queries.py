@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.llm.adaptive_scan import nearest_neighbours
+from siltstone.llm.alignment import alignment
 from siltstone.llm.chat_windows import CHAT_SQL, chat_digests
 from siltstone.llm.fertility import fertility_rules
 from siltstone.llm.html_text import extracted
@@ -112,3 +113,10 @@ def op10_adaptive_scan(spark: SparkSession, directory: str) -> DataFrame:
 @register()
 def op11_personal_data(spark: SparkSession, directory: str) -> DataFrame:
     return personal_data(table(spark, directory, "documents"))
+
+
+@register()
+def op12_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    return alignment(
+        table(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
