@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.llm.adaptive_scan import nearest_neighbours
 from siltstone.llm.alignment import alignment
 from siltstone.llm.chat_windows import CHAT_SQL, chat_digests
+from siltstone.llm.collocations import COLLOCATIONS_SQL, collocations
 from siltstone.llm.fertility import fertility_rules
 from siltstone.llm.html_text import extracted
 from siltstone.llm.mixture import MIXTURE_SQL, mixture
@@ -120,3 +121,8 @@ def op12_alignment(spark: SparkSession, directory: str) -> DataFrame:
     return alignment(
         table(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
     )
+
+
+@register(COLLOCATIONS_SQL)
+def op13_collocations(spark: SparkSession, directory: str) -> DataFrame:
+    return collocations(table(spark, directory, "documents"))

@@ -1,0 +1,117 @@
+"""Collocations against plain counting, and the sort against a dictionary."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from siltstone.llm import collocations as co
+from siltstone.llm.queries import ORACLES, QUERIES
+from siltstone.llm.scratch import ship
+from tests import oracle
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def _brute(rows, least, top):
+    counts, totals = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang, folded = lang or "und", "".join(x.lower() if "A" <= x <= "Z" else x for x in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", folded):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for n in range(1, 6):
+                counts[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, known in counts.items():
+        often = {x: f for x, f in known.items() if f >= least and len(x) > 1}
+        longer = Counter()
+        for x, f in often.items():
+            for n in range(2, len(x)):
+                for i in range(len(x) - n + 1):
+                    longer[x[i : i + n]] = max(longer[x[i : i + n]], f)
+        found = []
+        for x, a in often.items():
+            if longer[x] < a:
+                n = totals[lang]
+                score, _, l, r = min(
+                    (1000 * a * n // (known[x[:k]] * known[x[k:]]), k, known[x[:k]], known[x[k:]]) for k in range(1, len(x))
+                )
+                found.append((-score, -a, " ".join(x).encode(), l, r, n))
+        for rank, (s, a, x, l, r, n) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, x.decode(), -a, l, r, n, -s))
+    return sorted(out)
+
+
+def _found(frame):
+    return sorted(tuple(r[c] for c in COLUMNS) for r in frame.collect())
+
+
+def _texts(count, seed=3):
+    rng = random.Random(seed)
+    common = ["The", "of", "Größe", "naïve", "日本", "x'y", "and", "a"]
+    passage = "In the beginning of Things, there were Words and words of words and Größe"
+    out = []
+    for i in range(count):
+        words = [rng.choice(common) if rng.random() < 0.7 else f"w{rng.randint(0, 40)}" for _ in range(rng.randint(0, 60))]
+        text = "".join(w + rng.choice([" ", " ", "  ", "\t", ", ", ". ", "\n", "\r\n", "!"]) for w in words)
+        if rng.random() < 0.4:
+            text += passage
+        out.append((text, rng.choice(["en", "en", "de", "und", None])))
+    return [*out, (None, "en"), ("", None), ("the " * 20_000, "en"), ("a", "fr"), ("a b " * 200, "日")]
+
+
+@pytest.mark.parametrize("least, top, rows_a_part, field_bits", [(10, 2000, 500_000, 26), (10, 30, 40, 26), (3, 2000, 25, 15), (100, 5, 1, 15)])
+def test_collocations_equal_plain_counting(spark, monkeypatch, least, top, rows_a_part, field_bits):
+    ship(spark)
+    monkeypatch.setattr(co, "PARTITION_ROWS", rows_a_part)
+    whole = co.bit_field
+    monkeypatch.setattr(co, "bit_field", lambda hashes: whole(hashes, field_bits))
+    rows = _texts(300)
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    if rows_a_part == 1:
+        frame = frame.limit(60)
+        rows = [tuple(x) for x in frame.collect()]
+        frame = spark.createDataFrame(rows, "text string, lang string")
+    assert _found(co.collocations(frame, least=least, top=top)) == _brute(rows, least, top)
+
+
+def test_query_agrees_with_its_sql_on_the_larger_table(spark):
+    tables = "/root/testdata/sf0.01"
+    with oracle.connect(tables) as connected:
+        assert oracle.compare(spark, connected, QUERIES["op13_collocations"], ORACLES["op13_collocations"], tables) == []
+
+
+def test_quicksort_counts_every_phrase():
+    rng = np.random.default_rng(5)
+    keys = rng.integers(1, 4, (5, 3000)).astype(np.uint64)
+    ends = rng.integers(2, 6, 3000)
+    keys[np.arange(5)[:, None] >= ends] = 0
+    weights = rng.integers(1, 5, 3000)
+    wanted = Counter()
+    for column, weight in zip(keys.T.tolist(), weights.tolist()):
+        size = sum(map(bool, column))
+        for depth in range(2, size + 1):
+            wanted[tuple(column[:depth])] += weight
+    found = {tuple(keys[:d, p].tolist()): w for p, d, w in co.multikey_quicksort(keys, weights, 30)}
+    assert found == {x: n for x, n in wanted.items() if n >= 30}
+    assert list(co.multikey_quicksort(keys[:, :0], weights[:0], 30)) == []
+
+
+def test_exact_beyond_64_bits(spark):
+    rows = [(10**12, 10**13, 10**12 + 7, 10**12 + 9), (10**15, 10**15, 10**15, 10**15), (100, 250, 300, 101)]
+    frame = spark.createDataFrame(rows, "a long, n long, l long, r long").withColumn("s", co._score())
+    assert [(r.s, r.s) for r in frame.collect()] == [(1000 * a * n // (l * r),) * 2 for a, n, l, r in rows]
+
+
+def test_edges(spark):
+    ship(spark)
+    schema = "doc_id long, text string, lang string, h string, w1 string, n string"
+    assert co.collocations(spark.createDataFrame([], schema)).collect() == []
+    empty = spark.createDataFrame([(1, None, None, "x", "y", "z"), (1, " \t\n", "en", "x", "y", "z")], schema)
+    assert co.collocations(empty).collect() == []
+    rows = [(1, "New York", None, "x", "y", "z")] * 120
+    found = co.collocations(spark.createDataFrame(rows, schema)).collect()
+    assert [tuple(r) for r in found] == [("und", 1, "new york", 120, 120, 120, 240, 2000)]
