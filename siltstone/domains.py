@@ -251,6 +251,7 @@ SECURITY = DomainSpec(
         "credit_rating_sp", "credit_rating_moody", "credit_rating_fitch", "composite_rating",
     ),
     ranges=(Range("coupon_rate", 0, 100),),
+    absent="close",  # declared as a full refresh: every delivery is the whole master
 )
 
 RISK_ANALYTICS = DomainSpec(
@@ -265,6 +266,7 @@ RISK_ANALYTICS = DomainSpec(
         Range("current_yield", -50, 200),
         Range("liquidity_score", 0, 100),
     ),
+    partition="as_of_date",
 )
 
 DOMAINS = {spec.name: spec for spec in (POSITIONS, SECURITY, RISK_ANALYTICS)}

@@ -4,6 +4,10 @@ Checks that are plain aggregates (cardinality, null rates, ranges) can share one
 build them as ``Check`` values and hand them to ``run_checks``. Uniqueness and
 referential integrity read only their key columns and are scanned on their own, since
 carrying other aggregates through their shuffle would widen every key.
+
+All aggregates are counts, so they need not be taken at once: ``totals_by`` takes them for
+every date, ``rolled_up`` adds the dates up, and ``checked`` makes the report rows; or an
+``Observation`` takes ``aggregates`` while rows are written, and ``observed`` makes the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltstone.functions.columns import typed
 from siltstone.functions.hashing import HISTORY_COLUMNS
 
 # Columns the engine adds, which are not "extra" in a schema check.
@@ -110,11 +115,14 @@ def value_range(
     high: float | None = None,
     label: str = "",
     present: bool = True,
+    type_name: str | None = None,
 ) -> Check:
     """Non-NULL values below ``low`` or above ``high`` are violations.
 
     Passes without a look at the data when the column is absent or there are no bounds.
+    With ``type_name`` the column is as delivered, and compared as that type.
     """
+    checked_value = F.col(column) if type_name is None else typed(F.col(column), type_name)
     skipped = None
     if not present:
         skipped = "Column not present"
@@ -144,15 +152,43 @@ def value_range(
         return Check("range", label, {}, results)
     outside = F.lit(False)
     if low is not None:
-        outside = outside | (F.col(column) < low)
+        outside = outside | (checked_value < low)
     if high is not None:
-        outside = outside | (F.col(column) > high)
+        outside = outside | (checked_value > high)
     return Check("range", label, {"outside": F.count_if(outside)}, results)
 
 
+def lost_casts(types: Mapping[str, str], columns: Sequence[str], label: str = "") -> Check:
+    """Values that are there but do not fit their declared type: cleaning would make them NULL."""
+    present = [c for c in columns if c in types]
+
+    def results(value):
+        lost = [F.when(value(f"lost {c}") > 0, F.struct(F.lit(c).alias("column"), value(f"lost {c}").alias("values")))
+                for c in present]
+        failed = F.array_compact(F.array(*lost))
+        total = reduce(lambda a, b: a + b, [value(f"lost {c}") for c in present])
+        passed = total == 0
+        return {
+            "lost_values": failed,
+            "passed": passed,
+            "message": F.concat(F.lit("Values lost by casts: "), total.cast("string"), _verdict(passed)),
+        }
+
+    if not present:
+        raise ValueError("lost_casts needs at least one declared column")
+    counters = {
+        f"lost {c}": F.count_if(F.col(c).isNotNull() & typed(F.col(c), types[c]).isNull()) for c in present
+    }
+    return Check("lost_casts", label, counters, results)
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All given checks in one pass over ``df``, as report rows."""
-    totals = _totals(df, checks)
+    return checked(_totals(df, checks), checks)
+
+
+def checked(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Report rows of checks whose aggregates are the one row of ``totals``."""
     rows = [
         F.struct(*_report_columns(_result_columns(check, _reader(position))))
         for position, check in enumerate(checks)
@@ -160,6 +196,32 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return totals.select(F.inline(F.array(*rows)))
 
 
+def aggregates(checks: Sequence[Check]) -> dict[str, Column]:
+    """The aggregates of all checks under the names that ``checked`` knows."""
+    return {
+        f"{position} {name}": column
+        for position, check in enumerate(checks)
+        for name, column in check.aggregates.items()
+    }
+
+
+def totals_by(df: DataFrame, checks: Sequence[Check], by: str) -> DataFrame:
+    """The aggregates for every value of ``by``: a date's checks, kept and added up later."""
+    return df.groupBy(by).agg(*[column.alias(name) for name, column in aggregates(checks).items()])
+
+
+def rolled_up(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The aggregates of all dates together: every one is a count, so they add up."""
+    return totals.agg(*[F.coalesce(F.sum(f"`{name}`"), F.lit(0)).alias(name) for name in aggregates(checks)])
+
+
+def observed(spark: SparkSession, values: Mapping[str, int], checks: Sequence[Check]) -> DataFrame:
+    """Report rows of checks whose aggregates were taken while their rows were written."""
+    names = list(aggregates(checks))
+    kinds = T.StructType([T.StructField(name, T.LongType()) for name in names])
+    return checked(spark.createDataFrame([tuple(values[name] for name in names)], kinds), checks)
+
+
 def check_cardinality(
     df: DataFrame, expected_count: int | None = None, tolerance_pct: float = 0.0, label: str = ""
 ) -> DataFrame:
@@ -210,10 +272,19 @@ def null_rates(
 
 def check_uniqueness(df: DataFrame, key_columns: Sequence[str], label: str = "") -> DataFrame:
     """Rows minus distinct keys must be 0. NULL is a key value like any other."""
-    counts = df.agg(
+    return unique_row(df.agg(*key_counters(key_columns)), label)
+
+
+def key_counters(key_columns: Sequence[str]) -> list[Column]:
+    """Rows and distinct keys. By a column of the key, the counts of its values add up."""
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct(F.struct(*key_columns)).alias("distinct_keys"),
-    )
+    ]
+
+
+def unique_row(counts: DataFrame, label: str = "") -> DataFrame:
+    """The uniqueness check from its counters."""
     duplicates = F.col("total_rows") - F.col("distinct_keys")
     passed = duplicates == 0
     message = F.concat(
@@ -245,9 +316,13 @@ def orphan_keys(child: DataFrame, parent: DataFrame, join_key: str | Sequence[st
 def check_referential_integrity(
     child_df: DataFrame, parent_df: DataFrame, join_key: str | Sequence[str], label: str = ""
 ) -> DataFrame:
-    shown = join_key if isinstance(join_key, str) else ", ".join(join_key)
     orphans = orphan_keys(child_df, parent_df, join_key)
-    counted = orphans.agg(F.count(F.lit(1)).alias("orphan_count"))
+    return integrity_row(orphans.agg(F.count(F.lit(1)).alias("orphan_count")), join_key, label)
+
+
+def integrity_row(counted: DataFrame, join_key: str | Sequence[str], label: str = "") -> DataFrame:
+    """The check of references from the number of orphans."""
+    shown = join_key if isinstance(join_key, str) else ", ".join(join_key)
     passed = F.col("orphan_count") == 0
     message = F.concat(
         F.lit(f"Orphan {shown} values: "), F.col("orphan_count").cast("string"), _verdict(passed)
@@ -359,13 +434,9 @@ def _reader(position: int) -> Callable[[str], Column]:
 
 
 def _totals(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    aggregates = [
-        column.alias(f"{position} {name}")
-        for position, check in enumerate(checks)
-        for name, column in check.aggregates.items()
-    ]
+    wanted = [column.alias(name) for name, column in aggregates(checks).items()]
     # Without an aggregate to compute there is still one result row to make.
-    return df.agg(*aggregates) if aggregates else df.limit(0).agg(F.count(F.lit(1)))
+    return df.agg(*wanted) if wanted else df.limit(0).agg(F.count(F.lit(1)))
 
 
 def _result_columns(check: Check, value: Callable[[str], Column]) -> dict[str, Column]:

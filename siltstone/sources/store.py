@@ -3,10 +3,16 @@
 Layout: ``<root>/<layer>/<table>/_state_batch=<batch>/``. A history table adds
 ``_is_current=true|false`` below: a batch writes its current versions and only those
 versions it has closed itself; the closed versions of earlier batches stay where they
-are. A history table can also be partitioned by one DATE column of its key. A batch
-then writes the dates it touches and no others; the current rows of a date are those
-of the last batch that wrote it. Reading a state thus means choosing directories, and
-adding a day costs that day, however long the history is.
+are. A history table can also be partitioned by one DATE column that its key holds or
+determines, and a table without history can be *dated*: kept by a DATE column. A batch
+then writes the dates it touches and no others; the rows of a date are those of the
+last batch that wrote it. Reading a state thus means choosing directories, and adding a
+day costs that day, however long the history is.
+
+Which batch wrote a date last is in a small list that every batch leaves, complete, under
+``_current/`` (history) or ``_dated/``: one row for each date. So reading a date lists that
+date's directory, not all batches times all dates. The list is written after the rows, and
+a batch without it does not count.
 
 Running a batch again replaces its own directory and gives the same rows. After
 re-running an old batch, run the later ones again in order.
@@ -14,9 +20,9 @@ re-running an old batch, run the later ones again in order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +30,7 @@ from siltstone.sources import paths
 
 _BATCH = "_state_batch"
 _FLAG = "_is_current"
+_HISTORY_LIST, _DATED_LIST = "_current", "_dated"
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -38,10 +45,23 @@ def write_table(
     partition_by: Sequence[str] = (),
 ) -> int:
     """Write and return the number of rows, counted while they are written."""
+    return write_observed(df, path, {}, mode, fmt, partition_by)["rows"]
+
+
+def write_observed(
+    df: DataFrame,
+    path: str,
+    aggregates: Mapping[str, Column],
+    mode: str = "overwrite",
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> dict[str, int]:
+    """Write, and return ``rows`` and the given aggregates, all taken while the rows are written."""
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
-    return seen.get["rows"]
+    wanted = {"rows": F.count(F.lit(1)), **aggregates}
+    observed = df.observe(seen, *[column.alias(name) for name, column in wanted.items()])
+    observed.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
+    return {name: seen.get[name] for name in wanted}
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -74,8 +94,12 @@ class Store:
     def batches(self, layer: str, table: str) -> list[str]:
         """Completed batches in order."""
         base = self.path(layer, table)
-        done = paths.children(self.spark, base, f"{_BATCH}=*/_SUCCESS")
-        return sorted(_batch_of(path) for path in done)
+        done = {_batch_of(p) for p in paths.children(self.spark, base, f"{_BATCH}=*/_SUCCESS")}
+        for name in (_HISTORY_LIST, _DATED_LIST):
+            listed = paths.children(self.spark, base, f"{name}/{_BATCH}=*/_SUCCESS")
+            if listed:
+                done &= {_batch_of(p) for p in listed}
+        return sorted(done)
 
     def latest(self, layer: str, table: str, before: str | None = None) -> str | None:
         """The last completed batch, strictly before ``before`` when that is given."""
@@ -93,9 +117,11 @@ class Store:
         )
 
     def read(self, layer: str, table: str, batch: str | None = None) -> DataFrame:
-        """One batch of a table without history: the given one or the latest."""
+        """A table without history as of a batch, the latest by default; a dated one with all its dates."""
         chosen = batch or self._latest_or_fail(layer, table)
-        return read_table(self.spark, self.path(layer, table, chosen), self.fmt)
+        if self._has_list(layer, table, _DATED_LIST):
+            return self.read_dated(layer, table, chosen)
+        return self._own_rows(layer, table, chosen)
 
     def write_history(
         self, df: DataFrame, layer: str, table: str, batch: str, partition: str | None = None
@@ -104,58 +130,133 @@ class Store:
 
         With ``partition``, ``df`` must hold all current rows of every date it holds.
         """
-        if partition and df.schema[partition].dataType != T.DateType():
-            raise ValueError(f"a history table is partitioned by a DATE column, not {partition}")
-        return self.write(df, layer, table, batch, [_FLAG, partition] if partition else [_FLAG])
+        self._require_date(df, partition)
+        rows = self.write(df, layer, table, batch, [_FLAG, partition] if partition else [_FLAG])
+        if partition:
+            self._list_parts(layer, table, batch, _HISTORY_LIST, f"{_FLAG}=true/")
+        return rows
+
+    def write_dated(self, df: DataFrame, layer: str, table: str, batch: str, partition: str) -> int:
+        """Store the dates that ``df`` holds, each of them whole, and leave the others as they are."""
+        self._require_date(df, partition)
+        rows = self.write(df, layer, table, batch, [partition])
+        self._list_parts(layer, table, batch, _DATED_LIST, "")
+        return rows
 
     def read_history(self, layer: str, table: str, batch: str | None = None) -> DataFrame:
         """Every version as of a batch, the latest by default."""
         chosen = batch or self._latest_or_fail(layer, table)
-        known = {b for b in self.batches(layer, table) if b <= chosen}
-        closed = paths.children(
-            self.spark, self.path(layer, table), f"{_BATCH}=*/{_FLAG}=false"
-        )
-        closed = [path for path in closed if _batch_of(path) in known]
+        closed = self._closed(layer, table, None, chosen)
         return self._load(layer, table, chosen, self._current(layer, table, chosen) + closed)
 
-    def read_current(self, layer: str, table: str, batch: str | None = None) -> DataFrame:
-        """The current versions as of a batch, the latest by default."""
+    def read_current(
+        self, layer: str, table: str, batch: str | None = None, dates: Iterable | None = None
+    ) -> DataFrame:
+        """The current versions as of a batch, the latest by default; of the given dates or of all."""
+        chosen = batch or self._latest_or_fail(layer, table)
+        return self._load(layer, table, chosen, self._current(layer, table, chosen, dates))
+
+    def read_closed(
+        self, layer: str, table: str, after: str | None = None, batch: str | None = None
+    ) -> DataFrame:
+        """The versions that batches after ``after`` and up to ``batch`` closed."""
         chosen = batch or self._latest_or_fail(layer, table)
-        return self._load(layer, table, chosen, self._current(layer, table, chosen))
+        return self._load(layer, table, chosen, self._closed(layer, table, after, chosen))
+
+    def read_dated(
+        self, layer: str, table: str, batch: str | None = None, dates: Iterable | None = None
+    ) -> DataFrame:
+        """A dated table as of a batch, the latest by default; of the given dates or of all."""
+        chosen = batch or self._latest_or_fail(layer, table)
+        directories = self._part_paths(layer, table, chosen, _DATED_LIST, "", dates)
+        return self._load(layer, table, chosen, directories, flagged=False)
+
+    def dates(self, layer: str, table: str, batch: str | None = None) -> dict[str, str]:
+        """Of a table kept by date: every date and the batch that wrote its rows as of ``batch``."""
+        chosen = batch or self._latest_or_fail(layer, table)
+        for name in (_HISTORY_LIST, _DATED_LIST):
+            if self._has_list(layer, table, name):
+                parts = self._parts(layer, table, chosen, name)
+                return {part.split("=", 1)[1]: written for part, written in parts.items()}
+        return {}
 
     def has_current(self, layer: str, table: str, batch: str) -> bool:
         """Whether any row is current as of a batch; days without deliveries leave none behind."""
         return bool(self._current(layer, table, batch))
 
-    def _current(self, layer: str, table: str, batch: str) -> list[str]:
+    def _own_rows(self, layer: str, table: str, batch: str) -> DataFrame:
+        """What one batch wrote."""
+        return read_table(self.spark, self.path(layer, table, batch), self.fmt)
+
+    def _require_date(self, df: DataFrame, partition: str | None) -> None:
+        if partition and df.schema[partition].dataType != T.DateType():
+            raise ValueError(f"a table is partitioned by a DATE column, not {partition}")
+
+    def _has_list(self, layer: str, table: str, name: str) -> bool:
+        return paths.exists(self.spark, f"{self.path(layer, table)}/{name}")
+
+    def _list_path(self, layer: str, table: str, batch: str, name: str) -> str:
+        return f"{self.path(layer, table)}/{name}/{_BATCH}={batch}"
+
+    def _list_parts(self, layer: str, table: str, batch: str, name: str, prefix: str) -> None:
+        """Write the list of a batch: that of the one before with the dates it wrote itself."""
+        before = [b for b in self.batches(layer, table) if b < batch]
+        parts = self._parts(layer, table, before[-1], name) if before else {}
+        own = paths.children(self.spark, self.path(layer, table, batch), f"{prefix}*=*")
+        parts |= {path.rsplit("/", 1)[1]: batch for path in own}
+        rows = self.spark.createDataFrame(sorted(parts.items()), "part string, written_by string")
+        rows.coalesce(1).write.mode("overwrite").parquet(self._list_path(layer, table, batch, name))
+
+    def _parts(self, layer: str, table: str, batch: str, name: str) -> dict[str, str]:
+        """Directory name of each date -> the batch that wrote it: as many rows as there are dates."""
+        path = self._list_path(layer, table, batch, name)
+        rows = self.spark.read.schema("part string, written_by string").parquet(path)
+        return {row.part: row.written_by for row in rows.collect()}
+
+    def _part_paths(
+        self, layer: str, table: str, batch: str, name: str, prefix: str, dates: Iterable | None
+    ) -> list[str]:
+        wanted = None if dates is None else {str(d) for d in dates}
+        return sorted(
+            f"{self.path(layer, table, written)}/{prefix}{part}"
+            for part, written in self._parts(layer, table, batch, name).items()
+            if wanted is None or part.split("=", 1)[1] in wanted
+        )
+
+    def _closed(self, layer: str, table: str, after: str | None, batch: str) -> list[str]:
+        known = {b for b in self.batches(layer, table) if b <= batch and (after is None or b > after)}
+        closed = paths.children(self.spark, self.path(layer, table), f"{_BATCH}=*/{_FLAG}=false")
+        return [path for path in closed if _batch_of(path) in known]
+
+    def _current(self, layer: str, table: str, batch: str, dates: Iterable | None = None) -> list[str]:
         """Directories of the current rows: the batch's own, or per date the last one written."""
-        base = self.path(layer, table)
-        dated = paths.children(self.spark, base, f"{_BATCH}=*/{_FLAG}=true/*=*")
-        if not dated:
-            return paths.children(self.spark, base, f"{_BATCH}={batch}/{_FLAG}=true")
-        known = {b for b in self.batches(layer, table) if b <= batch}
-        newest: dict[str, str] = {}
-        for path in sorted(dated, key=_batch_of):
-            if _batch_of(path) in known:
-                newest[path.rsplit("/", 1)[1]] = path
-        return sorted(newest.values())
-
-    def _load(self, layer: str, table: str, newest: str, directories: list[str]) -> DataFrame:
+        if self._has_list(layer, table, _HISTORY_LIST):
+            return self._part_paths(layer, table, batch, _HISTORY_LIST, f"{_FLAG}=true/", dates)
+        if dates is not None:
+            raise ValueError(f"{layer}/{table} is not kept by date")
+        return paths.children(self.spark, self.path(layer, table, batch), f"{_FLAG}=true")
+
+    def _load(
+        self, layer: str, table: str, newest: str, directories: list[str], flagged: bool = True
+    ) -> DataFrame:
         # The newest batch with rows knows every column; older files read as NULL in new ones.
         # A batch without rows has no file that could tell its columns.
-        if directories:
-            newest = _batch_of(max(directories, key=_batch_of))
-        else:
-            filled = {_batch_of(p) for p in paths.children(self.spark, self.path(layer, table), f"{_BATCH}=*/{_FLAG}=*")}
-            filled &= set(self.batches(layer, table))
-            newest = max(filled, default=newest)
-        known = self.read(layer, table, newest).schema
+        done = set(self.batches(layer, table))
+        pattern = f"{_BATCH}=*/{_FLAG}=*" if flagged else f"{_BATCH}=*/*=*"
+        filled = {_batch_of(p) for p in directories}
+        if newest not in filled:
+            own = paths.children(self.spark, self.path(layer, table, newest), pattern.split("/", 1)[1])
+            filled |= {newest} if own else set()
+        if not filled:
+            everywhere = paths.children(self.spark, self.path(layer, table), pattern)
+            filled = {_batch_of(p) for p in everywhere} & done
+        known = self._own_rows(layer, table, max(filled, default=newest)).schema
         fields = [f for f in known.fields if f.name != _FLAG]
-        schema = T.StructType(
-            [*fields, T.StructField(_FLAG, T.BooleanType()), T.StructField(_BATCH, T.StringType())]
-        )
+        if flagged:
+            fields.append(T.StructField(_FLAG, T.BooleanType()))
         if not directories:
-            return self.spark.createDataFrame([], schema).drop(_BATCH)
+            return self.spark.createDataFrame([], T.StructType(fields))
+        schema = T.StructType([*fields, T.StructField(_BATCH, T.StringType())])
         reader = self.spark.read.format(self.fmt).schema(schema)
         reader = reader.option("basePath", self.path(layer, table))
         return reader.load(directories).drop(_BATCH)

@@ -56,7 +56,8 @@ class DomainSpec:
     defaults: tuple[Default, ...] = ()
     sums: tuple[SumOf, ...] = ()
     stamps: tuple[str, ...] = ()  # audit timestamps, filled with the run time when absent
-    partition: str | None = None  # DATE column of the key by which the history is partitioned
+    partition: str | None = None  # DATE column, in the key or determined by it, that partitions the history
+    absent: str = "keep"  # keys a delivery does not mention: they stay current (keep) or end (close)
 
     @property
     def column_names(self) -> tuple[str, ...]:
