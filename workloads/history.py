@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 from siltstone.functions.hashing import record_hash
 from siltstone.operators.evolve import evolve
 from siltstone.operators.history import as_of, closed_rows, current_rows, merge_current, scd2_merge, scd2_merge_all
+from siltstone.operators.late import scd2_splice
+from siltstone.operators.moments import at_own_time
 from siltstone.operators.project import snapshot
 from workloads.consolidation import ORDER_COLUMNS, order_columns
 from workloads.registry import DAY1, DAY2, DAY3, register, table
@@ -191,3 +193,34 @@ def scd2_batch_output(spark, directory):
     orders = table(spark, directory, "orders")
     before = current_rows(history(orders, 1))
     return merge_current(before, delivery(orders, 2), KEY, DAY2, "b2", hash_encoding="delimited")
+
+
+@register(f"WITH {_versions(1, 2, 3)} SELECT * FROM versions")
+def scd2_late_delivery(spark, directory):
+    """Day 2 arrives after day 3: the history is that of the three days in order."""
+    orders = table(spark, directory, "orders")
+    late = [(delivery(orders, day), _AT[day], f"b{day}") for day in (1, 3)]
+    before = scd2_merge_all(None, late, KEY, hash_encoding="delimited")
+    return scd2_splice(
+        before, delivery(orders, 2), KEY, DAY2, "b2", late[1:], hash_encoding="delimited"
+    )
+
+
+# A user's event of a type begins a version of the user; it lasts until the next such event.
+_STAGES = """
+SELECT user_id, event_type AS stage, value AS stage_value, ts AS _effective_from,
+  lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS _effective_to
+FROM events WHERE event_id % 3 = 0"""
+
+
+@register(f"""
+SELECT e.event_id, e.user_id, e.ts, s.stage, s.stage_value
+FROM events e LEFT JOIN ({_STAGES}) s ON s.user_id = e.user_id
+  AND s._effective_from <= e.ts AND (s._effective_to IS NULL OR s._effective_to > e.ts)
+WHERE e.event_id % 3 <> 0""")
+def versions_at_own_time(spark, directory):
+    """Every other event with its user's stage at the event's own time."""
+    events = table(spark, directory, "events")
+    stages = spark.sql(_STAGES.replace("FROM events", "FROM {events}"), events=events)
+    rows = events.filter("event_id % 3 <> 0").select("event_id", "user_id", "ts")
+    return at_own_time(rows, "ts", stages, ["user_id"], ["stage", "stage_value"])
