@@ -239,6 +239,7 @@ POSITIONS = DomainSpec(
     sums=(SumOf("total_pnl", ("unrealized_pnl", "realized_pnl")),),
     stamps=("created_timestamp", "updated_timestamp"),
     partition="as_of_date",
+    rejects="quarantine",
 )
 
 SECURITY = DomainSpec(
@@ -251,6 +252,7 @@ SECURITY = DomainSpec(
         "credit_rating_sp", "credit_rating_moody", "credit_rating_fitch", "composite_rating",
     ),
     ranges=(Range("coupon_rate", 0, 100),),
+    rejects="quarantine",
     absent="close",  # declared as a full refresh: every delivery is the whole master
 )
 
@@ -267,6 +269,7 @@ RISK_ANALYTICS = DomainSpec(
         Range("liquidity_score", 0, 100),
     ),
     partition="as_of_date",
+    rejects="quarantine",
 )
 
 DOMAINS = {spec.name: spec for spec in (POSITIONS, SECURITY, RISK_ANALYTICS)}

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from siltstone.functions.columns import typed
 from siltstone.functions.hashing import HISTORY_COLUMNS
+from siltstone.operators.rejects import COPIES
 
 # Columns the engine adds, which are not "extra" in a schema check.
 INTERNAL_COLUMNS = (
@@ -377,6 +378,23 @@ def missing_feed(spark: SparkSession, feed: str, label: str = "") -> DataFrame:
     return spark.createDataFrame([row], schema)
 
 
+def check_rejects(dealt: DataFrame, delivered: int, label: str = "") -> DataFrame:
+    """Fails if rows of a delivery went to the reject table; delivered = kept + rejected."""
+    counted = dealt.agg(F.coalesce(F.sum(COPIES), F.lit(0)).alias("rejected"))
+    passed = F.col("rejected") == 0
+    message = F.concat(
+        F.lit("Rejected rows: "), F.col("rejected").cast("string"), F.lit(f" of {delivered}"), _verdict(passed)
+    )
+    return counted.select(
+        F.lit("rejects").alias("check"),
+        F.lit(label).alias("label"),
+        F.lit(delivered).cast("long").alias("delivered"),
+        "rejected",
+        passed.alias("passed"),
+        message.alias("message"),
+    )
+
+
 # --- report ---------------------------------------------------------------------------
 
 

@@ -57,6 +57,7 @@ class DomainSpec:
     sums: tuple[SumOf, ...] = ()
     stamps: tuple[str, ...] = ()  # audit timestamps, filled with the run time when absent
     partition: str | None = None  # DATE column, in the key or determined by it, that partitions the history
+    rejects: str = "fail"  # a NULL or repeated key: the batch fails (fail) or goes on without the row (quarantine)
     absent: str = "keep"  # keys a delivery does not mention: they stay current (keep) or end (close)
 
     @property

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.domains import POSITIONS, RISK_ANALYTICS, SECURITY, WIDE_TABLE
 from siltstone.operators.conform import conform
+from siltstone.operators.rejects import rejected
 from siltstone.plans.daily import run_day
 from siltstone.plans.silver import silver_step
 from siltstone.sources.extract import extract
@@ -181,6 +182,43 @@ def silver_current(spark, directory):
     return _silver_orders(spark, directory).read_current("silver", "orders").drop("_record_hash")
 
 
+_LINES = DomainSpec(
+    name="lines",
+    key=("l_orderkey", "l_linenumber"),
+    columns=(("l_orderkey", "STRING"), ("l_linenumber", "STRING"), ("l_partkey", "STRING"),
+             ("l_returnflag", "STRING"), ("l_linestatus", "STRING")),
+    rejects="quarantine",
+)
+_LINE_COLUMNS = """CAST(l_orderkey AS VARCHAR) AS l_orderkey,
+  CASE WHEN l_quantity < 40 THEN CAST(l_linenumber AS VARCHAR) END AS l_linenumber,
+  CAST(l_partkey % 2 AS VARCHAR) AS l_partkey, l_returnflag, l_linestatus"""
+
+
+@register(f"""
+WITH came AS (SELECT {_LINE_COLUMNS} FROM lineitem),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_linestatus, l_partkey, l_returnflag) AS rank FROM came)
+SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, 'in the table' AS outcome, 1::BIGINT AS n
+FROM ranked WHERE l_linenumber IS NOT NULL AND rank = 1
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, 'duplicate key', count(*)
+FROM ranked WHERE l_linenumber IS NOT NULL AND rank > 1 GROUP BY ALL
+UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_linestatus, 'NULL in l_linenumber', count(*)
+FROM came WHERE l_linenumber IS NULL GROUP BY ALL""")
+def silver_quarantine(spark, directory):
+    """Repeated and NULL keys: what the table took and what went to the reject table, with the reason."""
+    store = Store(spark, scratch(spark))
+    lines = table(spark, directory, "lineitem")
+    rows = lines.selectExpr(
+        "l_orderkey", "CASE WHEN l_quantity < 40 THEN l_linenumber END AS l_linenumber",
+        "l_partkey % 2 AS l_partkey", "l_returnflag", "l_linestatus",
+    )
+    silver_step(store, rows, _LINES, "20260526", DAY1)
+    taken = store.read_current("silver", "lines").select(*_LINES.column_names)
+    taken = taken.withColumns({"outcome": F.lit("in the table"), "n": F.lit(1).cast("long")})
+    left_out = rejected(store.read("rejects", "lines"))
+    return taken.unionByName(left_out.withColumnsRenamed({"_reject_reason": "outcome", "_rejected_copies": "n"}))
+
+
 # --- two business days of everything --------------------------------------------------
 
 
