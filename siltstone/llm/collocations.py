@@ -7,14 +7,15 @@ down the levels and leaves out what cannot be frequent:
 1. Words are counted. Of the frequent ones a bit field of fixed size is made.
 2. Pairs of words that pass the field are counted, and make a second field.
 3. A suffix ends before the first word that no frequent pair leads to. Equal suffixes of a
-   task become one with a weight, and those of two words or more are written.
-4. Suffixes are routed to partitions by ranges of their leading words. A partition sorts
-   pointers to its suffixes by multikey three-way quicksort: the pointers less than, equal
-   to and greater than a pivot word; the equal ones go on to the next word, and their
-   weight is how often the phrase occurs. Less frequent partitions are abandoned. Ranges
-   cut through the suffixes of a frequent phrase, however many there are, so a phrase that
-   may go on in a neighbouring partition is reported there in any case; the reports are
-   summed.
+   task become one with a weight; those of two words or more are routed by their leading
+   words: by the first, by two where the first is hot, by three where the first two are.
+   A word or pair is hot with more than one in ``HOT_SHARE`` of all occurrences, so there
+   are at most that many of either. A task writes one compressed block for each route.
+4. A partition sorts pointers to the suffixes of its routes by multikey three-way
+   quicksort: the pointers less than, equal to and greater than a pivot word; the equal
+   ones go on to the next word, and their weight is how often the phrase occurs. Less
+   frequent partitions are abandoned. Only a hot pair is spread over routes: its
+   weight is reported by each and summed.
 
 A field's size does not grow with the input. A field that is full lets more pass, and
 the counts that follow are exact whatever it lets pass.
@@ -39,7 +40,9 @@ TOP = 2000
 FIELD_BITS = 26
 BLOCK_BYTES = 1 << 22
 PARTITION_ROWS = 500_000
+ROUTES_A_PARTITION = 8
 HELD_ROWS = 1_000_000
+HOT_SHARE = 1000
 TOP_PARTS = 256
 #: Languages' totals are broadcast up to this number of languages, joined by shuffle beyond.
 MOST_LANGUAGES = 10_000
@@ -165,6 +168,13 @@ def frequent_pairs(texts: DataFrame, word_field: np.ndarray, least: int) -> Data
     return counted.filter(F.col("n") >= least)
 
 
+def _hot(counts: DataFrame, count: str) -> np.ndarray:
+    """The hashes ``h`` with more than one in ``HOT_SHARE`` of all occurrences: fewer than ``HOT_SHARE``."""
+    total = counts.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    rows = counts.filter(F.col(count) * HOT_SHARE > total).select("h").collect()
+    return np.array([row.h for row in rows], np.int64).view(np.uint64)
+
+
 def _merged(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct columns of ``keys`` in order, and the sums of their weights."""
     order = np.lexsort(keys[::-1])
@@ -175,8 +185,30 @@ def _merged(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[:, at], np.add.reduceat(weights, at) if len(at) else weights
 
 
-def weighted_suffixes(texts: DataFrame, pair_field: np.ndarray) -> DataFrame:
-    """Suffixes w1..w5 (0: ended) of two words or more that frequent pairs lead through, and their weight."""
+def _leading(keys: np.ndarray, hot_words: np.ndarray, hot_pairs: np.ndarray) -> np.ndarray:
+    """A hash of the leading words by which each suffix is routed."""
+    one, two = keys[0], _run_hash(keys[:2])
+    three = _run_hash(keys[:3])
+    return np.where(np.isin(one, hot_words), np.where(np.isin(two, hot_pairs), three, two), mixed(one))
+
+
+def _packed(keys: np.ndarray, weights: np.ndarray) -> bytes:
+    """Sorted suffixes column by column, compressed."""
+    data = np.vstack([keys, weights.view(np.uint64)[None]]).tobytes()
+    return len(weights).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    count = int.from_bytes(blob[:8], "little")
+    data = pa.decompress(blob[8:], count * 8 * (LONGEST + 1), "zstd", asbytes=True)
+    both = np.frombuffer(data, np.uint64).reshape(LONGEST + 1, count)
+    return both[:LONGEST], both[LONGEST].view(np.int64)
+
+
+def weighted_suffixes(
+    texts: DataFrame, pair_field: np.ndarray, hot_words: np.ndarray, hot_pairs: np.ndarray, routes: int
+) -> DataFrame:
+    """Per task and route a block of suffixes of two words or more that frequent pairs lead through, with weights."""
     field = texts.sparkSession.sparkContext.broadcast(pair_field)
 
     def suffixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +216,14 @@ def weighted_suffixes(texts: DataFrame, pair_field: np.ndarray) -> DataFrame:
 
         def batch() -> pa.RecordBatch:
             keys, weights = _merged(np.hstack([k for k, _ in held]), np.concatenate([w for _, w in held]))
+            route = (_leading(keys, hot_words, hot_pairs) % np.uint64(routes)).astype(np.int64)
+            order = np.argsort(route, kind="stable")
+            keys, weights, route = keys[:, order], weights[order], route[order]
+            first = np.flatnonzero(np.diff(route, prepend=-1))
+            edges = np.append(first, len(route)).tolist()
+            blobs = [_packed(keys[:, x:y], weights[x:y]) for x, y in zip(edges[:-1], edges[1:], strict=True)]
             return pa.RecordBatch.from_arrays(
-                [*map(_signed, keys), pa.array(weights, pa.int64())], names=[*_NAMES, "weight"]
+                [pa.array(route[first]), pa.array(blobs, pa.binary())], names=["route", "suffixes"]
             )
 
         for words, _ in _each_block(batches):
@@ -210,7 +248,7 @@ def weighted_suffixes(texts: DataFrame, pair_field: np.ndarray) -> DataFrame:
             yield batch()
         give_back()
 
-    return texts.mapInArrow(suffixes, ", ".join(f"{n} long" for n in [*_NAMES, "weight"]))
+    return texts.mapInArrow(suffixes, "route long, suffixes binary")
 
 
 def multikey_quicksort(
@@ -249,32 +287,30 @@ def _phrase_rows(keys: np.ndarray, found: list[tuple[int, int, int]]) -> pa.Reco
     return pa.RecordBatch.from_arrays(columns, names=[*_NAMES, "n"])
 
 
-def _sorted_phrases(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _hot_pair_weights(
+    keys: np.ndarray, weights: np.ndarray, hot_pairs: np.ndarray, found: list[tuple[int, int, int]]
+) -> Iterator[tuple[int, int, int]]:
+    """What a partition has of each hot pair, as far as the sort did not report it."""
+    at = np.flatnonzero(np.isin(_run_hash(keys[:2]), hot_pairs))
+    known = {keys[:2, pointer].tobytes() for pointer, depth, _ in found if depth == 2}
+    _, first, place = np.unique(keys[:2, at], axis=1, return_index=True, return_inverse=True)
+    sums = np.bincount(place.ravel(), weights[at], len(first)).astype(np.int64)
+    for pointer, weight in zip(at[first].tolist(), sums.tolist(), strict=True):
+        if keys[:2, pointer].tobytes() not in known:
+            yield pointer, 2, weight
+
+
+def _sorted_phrases(
+    least: int, hot_pairs: np.ndarray
+) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def phrases(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = [[] for _ in range(LONGEST + 1)]
-        for batch in batches:
-            for column, values in zip(columns, batch.columns, strict=True):
-                column.append(values.to_numpy(zero_copy_only=False))
-        if not columns[0]:
-            return
-        keys = np.array([np.concatenate(x) for x in columns[:LONGEST]]).view(np.uint64)
-        if not keys.size:
+        parts = [_unpacked(blob.as_buffer().to_pybytes()) for batch in batches for blob in batch.column(1)]
+        if not parts:
             return
-        weights = np.concatenate(columns[LONGEST])
+        keys = np.hstack([x for x, _ in parts])
+        weights = np.concatenate([x for _, x in parts])
         found = list(multikey_quicksort(keys, weights, least))
-        # The phrases of the first and the last suffix (ranges order words as signed numbers)
-        # may go on in the neighbours: reported whatever their weight here.
-        order = np.lexsort(keys.view(np.int64)[::-1])
-        known = set()
-        for pointer, depth, _ in found:
-            known.add((depth, keys[:depth, pointer].tobytes()))
-        for pointer in {int(order[0]), int(order[-1])}:
-            for depth in range(2, LONGEST + 1):
-                words = keys[:depth, pointer]
-                if words[-1] and (depth, words.tobytes()) not in known:
-                    known.add((depth, words.tobytes()))
-                    same = (keys[:depth] == words[:, None]).all(axis=0)
-                    found.append((pointer, depth, int(weights[same].sum())))
+        found += _hot_pair_weights(keys, weights, hot_pairs, found)
         for start in range(0, len(found), 100_000):
             yield _phrase_rows(keys, found[start : start + 100_000])
         give_back()
@@ -282,11 +318,11 @@ def _sorted_phrases(least: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator
     return phrases
 
 
-def phrase_counts(suffixes: DataFrame, rows: int, least: int) -> DataFrame:
+def phrase_counts(blocks_of_suffixes: DataFrame, parts: int, least: int, hot_pairs: np.ndarray) -> DataFrame:
     """Words w1..w5 and frequency f of all phrases of 2 to 5 words that occur ``least`` times or more."""
-    parts = max(int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
-    routed = suffixes.repartitionByRange(parts, *_NAMES)
-    reports = routed.mapInArrow(_sorted_phrases(least), ", ".join(f"{n} long" for n in [*_NAMES, "n"]))
+    routed = blocks_of_suffixes.repartition(parts, "route")
+    kind = ", ".join(f"{n} long" for n in [*_NAMES, "n"])
+    reports = routed.mapInArrow(_sorted_phrases(least, hot_pairs), kind)
     summed = reports.groupBy(*_NAMES).agg(F.sum("n").alias("f"))
     return summed.filter(F.col("f") >= least)
 
@@ -309,13 +345,16 @@ def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=[*_NAMES, "f", "p", "cuts", "inner"])
 
 
+def _run_hash(words: np.ndarray) -> np.ndarray:
+    """The hash of each column of words, as ``windows`` has it."""
+    return windows(np.ascontiguousarray(words.T).ravel(), len(words))[:: len(words)]
+
+
 def _run_key(words: np.ndarray) -> list[int]:
     """One key for each column of words; a single word is its own key."""
     if len(words) == 1:
         return words[0].view(np.int64).tolist()
-    columns = np.ascontiguousarray(words.T).ravel()
-    grams = windows(columns, len(words))[:: len(words)]
-    return mixed(grams + np.uint64(len(words))).view(np.int64).tolist()
+    return mixed(_run_hash(words) + np.uint64(len(words))).view(np.int64).tolist()
 
 
 def scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
@@ -389,9 +428,15 @@ def collocations(
     if totals.count() <= MOST_LANGUAGES:
         totals = F.broadcast(totals)
     words = counted.filter(F.col("f") >= least)
-    pairs = frequent_pairs(texts, bit_field(words.select("h")), least)
-    suffixes = scratch.keep(weighted_suffixes(texts, bit_field(pairs.select("h"))), "suffixes")
-    found = phrase_counts(suffixes, suffixes.count(), least)
+    pairs = scratch.keep(frequent_pairs(texts, bit_field(words.select("h")), least), "pairs")
+    occurrences = pairs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # Every suffix begins with an occurrence of a frequent pair.
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-occurrences // PARTITION_ROWS))
+    hot_words, hot_pairs = _hot(words, "f"), _hot(pairs, "n")
+    suffixes = weighted_suffixes(
+        texts, bit_field(pairs.select("h")), hot_words, hot_pairs, parts * ROUTES_A_PARTITION
+    )
+    found = phrase_counts(scratch.keep(suffixes, "suffixes"), parts, least, hot_pairs)
     fields = T.StructType.fromDDL(
         "p long, cuts array<struct<k:int,left:long,right:long>>, inner array<long>"
     )

@@ -63,15 +63,18 @@ def _texts(count, seed=3):
     return [*out, (None, "en"), ("", None), ("the " * 20_000, "en"), ("a", "fr"), ("a b " * 200, "日")]
 
 
-@pytest.mark.parametrize("least, top, rows_a_part, field_bits", [(10, 2000, 500_000, 26), (10, 30, 40, 26), (3, 2000, 25, 15), (100, 5, 1, 15)])
-def test_collocations_equal_plain_counting(spark, monkeypatch, least, top, rows_a_part, field_bits):
+@pytest.mark.parametrize("least, top, rows_a_part, field_bits, share", [
+    (10, 2000, 500_000, 26, 1000), (10, 30, 400, 26, 20), (3, 2000, 250, 15, 5), (100, 5, 10, 15, 1000),
+])
+def test_collocations_equal_plain_counting(spark, monkeypatch, least, top, rows_a_part, field_bits, share):
     ship(spark)
+    monkeypatch.setattr(co, "HOT_SHARE", share)
     monkeypatch.setattr(co, "PARTITION_ROWS", rows_a_part)
     whole = co.bit_field
     monkeypatch.setattr(co, "bit_field", lambda hashes: whole(hashes, field_bits))
     rows = _texts(300)
     frame = spark.createDataFrame(rows, "text string, lang string").repartition(5)
-    if rows_a_part == 1:
+    if rows_a_part == 10:
         frame = frame.limit(60)
         rows = [tuple(x) for x in frame.collect()]
         frame = spark.createDataFrame(rows, "text string, lang string")
