@@ -17,7 +17,7 @@ class Dimension:
     """One enrichment: ``df`` joined on ``keys``, contributing ``columns`` (default all).
 
     ``fan_out`` says that one key may match so many rows of ``df`` that they do not fit
-    one task (see ``left_join_fan_out``).
+    one task: such keys are looked for and joined apart (see ``left_join_hot_keys``).
     """
 
     name: str
@@ -60,7 +60,7 @@ def denormalize(
         if dimension.fan_out:
             if dimension.how != "left":
                 raise ValueError(f"{dimension.name}: fan_out applies to left joins")
-            wide = left_join_fan_out(wide, right, on)
+            wide = left_join_hot_keys(wide, right, on)
         else:
             wide = wide.join(right, on, dimension.how)
     wide = wide.select(*columns)
@@ -69,6 +69,46 @@ def denormalize(
     return wide
 
 
+#: A sketch follows this many keys; a key below the average task's share of rows is not hot.
+TRACKED_KEYS = 10_000
+MOST_HOT_KEYS = 100
+HOT_ROWS = 100_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int | None = None) -> list[int]:
+    """The 64-bit hashes of keys with so many rows that one task should not have them all.
+
+    A key is hot with more rows than ``least`` and than a shuffle partition has on
+    average. They come from a mergeable sketch of the keys, one scan of the key columns
+    without a shuffle of rows. There are fewer hot keys than shuffle partitions and at
+    most ``MOST_HOT_KEYS``; what the sketch gets wrong changes the plan, never the rows.
+    """
+    counted = df.agg(
+        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    share = counted.rows // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bound = max(HOT_ROWS if least is None else least, share)
+    return [x["item"] for x in counted.top or [] if x["count"] > bound]
+
+
+def left_join_hot_keys(
+    left: DataFrame, right: DataFrame, on: Sequence[str], least: int | None = None
+) -> DataFrame:
+    """A left join that splits the hot keys of the right side, and only those.
+
+    Without a hot key this is the plain left join. Otherwise the rows of hot keys are
+    joined apart by ``left_join_fan_out``, all others as before; the rows are the same.
+    """
+    keys = list(on)
+    hot = hot_keys(right, keys, least)
+    if not hot:
+        return left.join(right, keys, "left")
+    is_hot = F.xxhash64(*keys).isin(hot)
+    usual = left.filter(~is_hot).join(right.filter(~is_hot), keys, "left")
+    return usual.unionByName(left_join_fan_out(left.filter(is_hot), right.filter(is_hot), keys))
+
+
 def left_join_fan_out(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """A left join in which hot keys of either side can be split at run time.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.denormalize import Dimension, denormalize, left_join_fan_out
+from siltstone.operators.denormalize import Dimension, denormalize, left_join_fan_out, left_join_hot_keys
 from workloads.registry import DAY2, register, table
 
 _ORDER = "o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority"
@@ -73,6 +73,19 @@ def gold_fanout_split(spark, directory):
     )
 
 
+_HOT_LINES = "SELECT CASE WHEN l_quantity < 17 THEN 1 ELSE l_partkey END AS p_partkey, l_orderkey, l_extendedprice FROM lineitem"
+
+
+@register(f"""
+SELECT p.p_partkey, p_name, l_orderkey, l_extendedprice
+FROM part p LEFT JOIN ({_HOT_LINES}) l ON p.p_partkey = l.p_partkey""")
+def gold_hot_keys(spark, directory):
+    """One part has a third of all lines: its rows are joined apart, all others as usual."""
+    lines = spark.sql(_HOT_LINES.replace("FROM lineitem", "FROM {lines}"), lines=table(spark, directory, "lineitem"))
+    parts = table(spark, directory, "part").select("p_partkey", "p_name")
+    return left_join_hot_keys(parts, lines, ["p_partkey"], least=1000)
+
+
 @register("""
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, l.l_linenumber, l.l_quantity
 FROM (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS o_orderkey, o_custkey,
