@@ -19,7 +19,7 @@ from siltstone.plans.daily import run_day
 from siltstone.plans.silver import silver_step
 from siltstone.sources.extract import extract
 from siltstone.sources.scan import list_snapshots, read_snapshot
-from siltstone.sources.store import Store, read_table, write_table
+from siltstone.sources.store import Store, read_table, table_columns, table_exists, write_table
 from siltstone.specs import DomainSpec
 from workloads import domain_feeds as feeds
 from workloads.history import KEY
@@ -300,7 +300,7 @@ RISK_NAMES = {
 }
 
 
-@register(day_report(
+_REPORT = day_report(
     _POSITIONS_NOW, feeds.conformed_security(2), _RISK_NOW,
     {
         "positions": feeds.consolidated(feeds.alpha_canonical(2)),
@@ -309,13 +309,44 @@ RISK_NAMES = {
     },
     {x: c for x, c in feeds.DELIVERED.items() if x != "accounting_system_beta"},
     {"accounting_system_beta": "positions"},
-))
+)
+
+
+@register(_REPORT)
 def daily_report(spark, directory):
     """The report of day 2: counts of the wide table, values as delivered, and the feed that did not come."""
     _, report = _two_days(spark, directory)
     return report
 
 
+@register(f"""
+SELECT '{WIDE_TABLE}' AS pipeline, TIMESTAMP '2026-05-27 00:00:00' AS run_at, "check", label, passed, message,
+  details, count(*) OVER () AS total_checks, count(*) FILTER (NOT passed) OVER () AS failed
+FROM ({_REPORT})""")
+def report_read_back(spark, directory):
+    """The report as its sink holds it: one JSON document a day, here day 2's, check by check."""
+    store, _ = _two_days(spark, directory)
+    document = spark.read.json(f"{store.root.rsplit('/', 1)[0]}/reports")
+    rows = document.select("pipeline", "timestamp", "summary", F.explode("checks").alias("c"))
+    return rows.select(
+        "pipeline", F.to_timestamp("timestamp").alias("run_at"), "c.check", "c.label", "c.passed",
+        "c.message", "c.details", "summary.total_checks", "summary.failed",
+    )
+
+
+@register("""
+SELECT column_name AS name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  ELSE lower(column_type) END AS kind, true AS table_exists, false AS other_exists
+FROM (DESCRIBE lineitem)""")
+def stored_columns(spark, directory):
+    """The columns of a table that was written, and whether it and another one exist."""
+    path = f"{scratch(spark)}/lines"
+    write_table(table(spark, directory, "lineitem"), path)
+    there, other = table_exists(spark, path), table_exists(spark, f"{path}-of-others")
+    rows = [(f.name, f.dataType.simpleString(), there, other) for f in table_columns(spark, path)]
+    return spark.createDataFrame(rows, "name string, kind string, table_exists boolean, other_exists boolean")
+
+
 @register(f"""
 WITH d1 AS ({feeds.conformed_positions(feeds.consolidated(
     feeds.alpha_canonical(1) + " UNION ALL BY NAME " + feeds.beta_canonical()))}),
