@@ -2,9 +2,10 @@
 
 A shard holds whole documents in ascending doc_id order. Plane by plane, from the
 highest bit of an id to the lowest, it stores that bit of every token and then moves the
-tokens with bit 0 before those with bit 1. With counts of set bits at regular places,
-any token is read, counted or found by one rank or select per plane. Planes are
-compressed apart, so that a look-up opens only what it needs.
+tokens with bit 0 before those with bit 1. A plane is cut into blocks that are compressed
+apart. The file has the set bits before every block, and each block those before every
+``STEP`` bits of its own. So any token is read, counted or found by one rank or select
+per plane, and each of these opens one block.
 """
 
 from __future__ import annotations
@@ -23,34 +24,57 @@ from siltstone.llm.pieces import BLOCK_BYTES, PieceEncoder
 from siltstone.llm.scratch import Scratch
 from siltstone.llm.words import blocks
 
-MAGIC = b"SLTWM1\0\0"
+MAGIC = b"SLTWM2\0\0"
 _HEAD = struct.Struct("<8sQQI")
-#: Bits between two stored counts.
-STEP = 512
+_PLANE = struct.Struct("<QI")
+#: Bits of a block, and bits between two stored counts within it.
+BLOCK, STEP = 1 << 16, 512
+
+
+def _block_image(ones: np.ndarray) -> bytes:
+    """Set bits before every ``STEP``-th bit, then the bits, filled up to whole steps."""
+    packed = np.packbits(ones, bitorder="little")
+    bits = np.zeros(-(-len(ones) // STEP) * (STEP // 8), np.uint8)
+    bits[: len(packed)] = packed
+    counts = np.bitwise_count(bits).reshape(-1, STEP // 8).sum(axis=1)
+    return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype("<u2").tobytes() + bits.tobytes()
 
 
 def encode_shard(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray, bits: int) -> bytes:
-    """The file image: head, table of documents, then for each plane its zeros and compressed bits."""
+    """The file image: head, table of documents, then for each plane its zeros, block table and blocks.
+
+    An id that ``bits`` cannot hold is an error.
+    """
     import zstandard
 
+    if len(tokens) and int(tokens.max()) >> bits:
+        raise ValueError(f"token id {int(tokens.max())} does not fit into {bits} bits")
     squeeze = zstandard.ZstdCompressor(level=1).compress
     known = np.array([x is not None for x in doc_ids], np.uint8)
     numbers = np.array([0 if x is None else x for x in doc_ids], np.int64)
     table = squeeze(known.tobytes() + numbers.tobytes() + lengths.astype(np.uint64).tobytes())
     parts = [_HEAD.pack(MAGIC, len(tokens), len(doc_ids), bits), struct.pack("<Q", len(table)), table]
     values = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
+    starts = np.arange(0, len(values), BLOCK)
     for level in range(bits - 1, -1, -1):
         ones = (values & values.dtype.type(1 << level)).astype(bool)
-        plane = squeeze(np.packbits(ones, bitorder="little").tobytes())
+        blocks_ = [squeeze(_block_image(ones[at : at + BLOCK])) for at in starts.tolist()]
+        counts = np.add.reduceat(ones, starts, dtype=np.int64) if len(starts) else starts
         high = values.take(np.flatnonzero(ones))
         low = values.take(np.flatnonzero(~ones))
-        parts += [struct.pack("<QQ", len(low), len(plane)), plane]
+        parts.append(_PLANE.pack(len(low), len(blocks_)))
+        parts.append((np.cumsum(counts) - counts).astype("<u8").tobytes())
+        parts.append(np.array(list(map(len, blocks_)), "<u4").tobytes())
+        parts += blocks_
         values = np.concatenate([low, high])
     return b"".join(parts)
 
 
 class WaveletShard:
-    """Reads a file image: all tokens, or one token's places, without decoding the rest."""
+    """Reads a file image: all tokens, or one token's places, without decoding the rest.
+
+    ``opened`` holds the (plane, block) pairs that look-ups have decompressed so far.
+    """
 
     def __init__(self, image: bytes | memoryview):
         import zstandard
@@ -69,42 +93,60 @@ class WaveletShard:
         self.doc_ids = [int(x) if ok else None for x, ok in zip(numbers, known, strict=True)]
         lengths = np.frombuffer(table, np.uint64, documents, 9 * documents).astype(np.int64)
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
-        self.zeros, self._planes = [], []
+        self.zeros, self._before, self._blocks = [], [], []
         for _ in range(self.bits):
-            zeros, length = struct.unpack_from("<QQ", view, at)
+            zeros, count = _PLANE.unpack_from(view, at)
+            at += _PLANE.size
             self.zeros.append(zeros)
-            self._planes.append(view[at + 16 : at + 16 + length])
-            at += 16 + length
-        self._ready: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    def _packed(self, plane: int) -> np.ndarray:
-        return np.frombuffer(self._open(self._planes[plane]), np.uint8)
-
-    def _counted(self, plane: int) -> tuple[np.ndarray, np.ndarray]:
-        """The plane's bits as 64-bit words, and the set bits before every STEP-th bit."""
-        if plane not in self._ready:
-            packed = self._packed(plane)
-            words = np.zeros((len(packed) // (STEP // 8) + 1) * (STEP // 64), "<u8")
-            words.view(np.uint8)[: len(packed)] = packed
-            sums = np.bitwise_count(words).reshape(-1, STEP // 64).sum(axis=1)
-            self._ready[plane] = words, np.concatenate([[0], np.cumsum(sums)])
-        return self._ready[plane]
+            self._before.append(np.frombuffer(view, "<u8", count, at).astype(np.int64))
+            sizes = np.frombuffer(view, "<u4", count, at + 8 * count)
+            ends = at + 12 * count + np.cumsum(sizes, dtype=np.int64)
+            self._blocks.append([view[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)])
+            at += 12 * count + int(sizes.sum())
+        self.opened: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+
+    def _block(self, plane: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """A block's stored counts and its bits as 64-bit words."""
+        if (plane, number) not in self.opened:
+            image = self._open(self._blocks[plane][number])
+            steps = len(image) // (2 + STEP // 8)
+            self.opened[plane, number] = np.frombuffer(image, "<u2", steps), np.frombuffer(image, "<u8", offset=2 * steps)
+        return self.opened[plane, number]
+
+    def _bits(self, plane: int) -> np.ndarray:
+        """All bits of a plane; nothing of it is kept open."""
+        parts = []
+        for block in self._blocks[plane]:
+            image = self._open(block)
+            steps = len(image) // (2 + STEP // 8)
+            parts.append(np.frombuffer(image, np.uint8, offset=2 * steps))
+        packed = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        return np.unpackbits(packed, count=self.size, bitorder="little").view(bool)
 
     def _rank(self, plane: int, at: int) -> int:
         """Set bits among the first ``at`` of a plane."""
-        words, sums = self._counted(plane)
-        block, word = at // STEP, at // 64
-        count = int(sums[block]) + int(np.bitwise_count(words[block * (STEP // 64) : word]).sum())
+        if at >= self.size:
+            return self.size - self.zeros[plane]
+        counts, words = self._block(plane, at // BLOCK)
+        inside = at % BLOCK
+        step, word = inside // STEP, inside // 64
+        count = int(self._before[plane][at // BLOCK]) + int(counts[step])
+        count += int(np.bitwise_count(words[step * (STEP // 64) : word]).sum())
         return count + (int(words[word]) & ((1 << at % 64) - 1)).bit_count() if at % 64 else count
 
     def _select(self, plane: int, bit: int, nth: int) -> int:
         """The place of the nth (from 0) bit of this value in a plane."""
-        words, sums = self._counted(plane)
-        before = sums if bit else np.arange(len(sums)) * STEP - sums
+        ones = self._before[plane]
+        before = ones if bit else np.arange(len(ones)) * BLOCK - ones
         block = int(np.searchsorted(before, nth, side="right")) - 1
-        part = words[block * (STEP // 64) : (block + 1) * (STEP // 64)]
+        nth -= int(before[block])
+        counts, words = self._block(plane, block)
+        ones = counts.astype(np.int64)
+        before = ones if bit else np.arange(len(ones)) * STEP - ones
+        step = int(np.searchsorted(before, nth, side="right")) - 1
+        part = words[step * (STEP // 64) : (step + 1) * (STEP // 64)]
         bits = np.unpackbits(part.view(np.uint8), bitorder="little")
-        return block * STEP + int(np.flatnonzero(bits == bit)[nth - int(before[block])])
+        return block * BLOCK + step * STEP + int(np.flatnonzero(bits == bit)[nth - int(before[step])])
 
     def access(self, at: int) -> int:
         """The token at a place."""
@@ -148,7 +190,7 @@ class WaveletShard:
         """All tokens in their order: planes are undone from the last to the first."""
         values = np.zeros(self.size, np.uint16 if self.bits <= 16 else np.uint32)
         for plane in range(self.bits - 1, -1, -1):
-            ones = np.unpackbits(self._packed(plane), count=self.size, bitorder="little").view(bool)
+            ones = self._bits(plane)
             before = np.empty_like(values)
             before[np.flatnonzero(~ones)] = values[: self.zeros[plane]]
             before[np.flatnonzero(ones)] = values[self.zeros[plane] :] | values.dtype.type(1 << (self.bits - 1 - plane))
@@ -241,12 +283,21 @@ def read_shards(shards: DataFrame) -> DataFrame:
     )
 
 
-def token_index(docs: DataFrame, tokenizer: str, *, end_id: int = 2, bits: int = 16) -> DataFrame:
+def id_bits(tokenizer: str, end_id: int) -> int:
+    """The bits that hold every id of a vocabulary file and the end id."""
+    from tokenizers import Tokenizer
+
+    return max(max(Tokenizer.from_file(tokenizer).get_vocab().values()), end_id, 1).bit_length()
+
+
+def token_index(docs: DataFrame, tokenizer: str, *, end_id: int = 2, bits: int | None = None) -> DataFrame:
     """Writes every row of ``docs`` (doc_id long, text string) to wavelet shards and reads it back from them.
 
     Returns doc_id, start, n_tokens, ids_crc32. A null or empty text is its end id alone;
     repeated rows are written again; other columns are ignored; an empty table gives no
-    rows. ``bits`` is the width of an id.
+    rows. ``bits`` is the width of an id, by default what the vocabulary needs; an id beyond
+    it is an error.
     """
+    bits = bits or id_bits(tokenizer, end_id)
     scratch = Scratch(docs.sparkSession)
     return read_shards(write_shards(docs, tokenizer, scratch, end_id=end_id, bits=bits))
