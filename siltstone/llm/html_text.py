@@ -12,6 +12,7 @@ cut only outside the core.
 
 from __future__ import annotations
 
+import bisect
 import html
 import math
 import re
@@ -80,6 +81,46 @@ class Node:
         self.kept = name in ("article", "main")
 
 
+class _Open:
+    """The open elements, outermost first, and the depths at which each name is open.
+
+    All questions about names take constant time (and the logarithm of the depth), so that
+    a page of elements that are never closed takes no more time than any other.
+    """
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.depths: dict[str, list[int]] = {}
+
+    @property
+    def top(self) -> Node:
+        return self.nodes[-1]
+
+    def push(self, node: Node) -> None:
+        self.depths.setdefault(node.name, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def end(self, depth: int) -> None:
+        """Ends the element at a depth and all within."""
+        for node in self.nodes[depth:]:
+            self.depths[node.name].pop()
+        del self.nodes[depth:]
+
+    def innermost(self, names: Iterable[str]) -> int:
+        """The greatest depth at which one of these names is open, 0 if none is."""
+        return max((self.depths[x][-1] for x in names if self.depths.get(x)), default=0)
+
+    def outermost(self, names: Iterable[str], above: int) -> int:
+        """The least depth beyond ``above`` at which one of these names is open, 0 if none is."""
+        found = 0
+        for name in names:
+            depths = self.depths.get(name, ())
+            at = bisect.bisect_right(depths, above)
+            if at < len(depths):
+                found = min(found or depths[at], depths[at])
+        return found
+
+
 def _attributes(text: str) -> dict[str, str]:
     """Names, in lower case, and values of a tag's attributes; the first of a name counts."""
     found: dict[str, str] = {}
@@ -88,12 +129,12 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _is_cut(name: str, text: str, stack: list[Node]) -> tuple[bool, bool]:
+def _is_cut(name: str, text: str, stack: _Open) -> tuple[bool, bool]:
     """Whether an element is cut, and whether it is unless it lies in the core."""
     if name in DROPPED:
         return True, False
     if name == "header":
-        return not any(x.name in ("article", "main") for x in stack), False
+        return not stack.innermost(("article", "main")), False
     if not text or name in KEPT:
         return False, False
     found = _attributes(text)
@@ -116,7 +157,7 @@ def _is_cut(name: str, text: str, stack: list[Node]) -> tuple[bool, bool]:
 def parse(page: str) -> Node:
     """The tree of a page. Unclosed elements end with what bounds them, stray ends are passed over."""
     root = Node("html", None, False)
-    stack, at, size = [root], 0, len(page)
+    stack, at, size = _Open(root), 0, len(page)
     while at < size:
         found = TAG.search(page, at)
         if found is None:
@@ -132,27 +173,22 @@ def parse(page: str) -> Node:
             continue
         name = name.lower()
         if found.group(1):
-            if name == "p" and not any(x.name == "p" for x in stack):
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
-                if stack[depth].name in ("td", "th", "table") and name in INLINE:
-                    break
+            depth = stack.innermost((name,))
+            if depth and not (name in INLINE and stack.innermost(("td", "th", "table")) > depth):
+                stack.end(depth)
             continue
-        if name == "html" or (name == "body" and any(x.name == "body" for x in stack)):
+        if name == "html" or (name == "body" and stack.innermost(("body",))):
             continue
         if name == "body":
-            del stack[1:]
-        if stack[-1].name == "head" and name not in HEAD:
-            del stack[-1]
+            stack.end(1)
+        if stack.top.name == "head" and name not in HEAD:
+            stack.end(len(stack.nodes) - 1)
         if name in CLOSES_P:
             _close(stack, {"p"}, {"table", "td", "th", "button", "body"})
         if name in ENDS:
             _close(stack, *ENDS[name])
-        node = Node(name, stack[-1], *_is_cut(name, found.group(3), stack))
-        stack[-1].children.append(node)
+        node = Node(name, stack.top, *_is_cut(name, found.group(3), stack))
+        stack.top.children.append(node)
         if name in VOID:
             continue
         if name in RAW:
@@ -160,29 +196,23 @@ def parse(page: str) -> Node:
             at = end.end() if end else size
             continue
         if not found.group(3).endswith("/") or name not in ("svg", "math"):
-            stack.append(node)
+            stack.push(node)
     return root
 
 
-def _add_text(stack: list[Node], text: str) -> None:
+def _add_text(stack: _Open, text: str) -> None:
     """Puts a text into the innermost element; a head ends before it."""
-    if stack[-1].name == "head" and text.strip():
-        del stack[-1]
-    stack[-1].children.append(text)
-
-
-def _close(stack: list[Node], names: set[str], bounds: set[str]) -> None:
-    """Ends the innermost element of these names, and all within, unless one of ``bounds`` lies between."""
-    found = 0
-    for depth in range(len(stack) - 1, 0, -1):
-        if stack[depth].name in names:
-            found = depth
-            if not len(names) > 1:
-                break
-        elif stack[depth].name in bounds:
-            break
-    if found:
-        del stack[found:]
+    if stack.top.name == "head" and text.strip():
+        stack.end(len(stack.nodes) - 1)
+    stack.top.children.append(text)
+
+
+def _close(stack: _Open, names: set[str], bounds: set[str]) -> None:
+    """Ends the innermost element of a name, or the outermost of several names, and all within, up to ``bounds``."""
+    bound = stack.innermost(bounds)
+    found = stack.outermost(names, bound) if len(names) > 1 else stack.innermost(names)
+    if found > bound:
+        stack.end(found)
 
 
 def _ordered(root: Node) -> list[Node]:
