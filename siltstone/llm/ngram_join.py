@@ -369,10 +369,14 @@ def one_of_each(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
     words are like no other: all stay.
     """
     scratch = Scratch(docs.sparkSession)
-    # A key by content: it is the same however often and wherever a row is read.
+    # A key by content: it is the same however often and wherever a row is read. Its name is free.
     values = [x for c in docs.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-    keyed = docs.withColumn("_row", F.xxhash64(*values))
-    signed = scratch.keep(signatures(keyed, n, ("doc_id", "_row")), "row-signatures")
+    own = "_row"
+    while own in docs.columns:
+        own += "_"
+    keyed = docs.withColumn(own, F.xxhash64(*values))
+    narrow = keyed.select("doc_id", "text", F.col(own).alias("_row"))
+    signed = scratch.keep(signatures(narrow, n, ("doc_id", "_row")), "row-signatures")
     labels = link_classes(docs, scratch, n, percent)
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")
     classes = (
@@ -389,10 +393,12 @@ def one_of_each(docs: DataFrame, *, n: int = 5, percent: int = 75) -> DataFrame:
     # Keys of rows that go, and those of rows that stay once of several equal ones.
     keys = grouped.groupBy("a.doc_id", "a._row").agg(F.max(same).alias("stays"), F.count("*").alias("rows"))
     keys = scratch.keep(keys.where("not stays or rows > 1"), "row-keys")
-    rest = keyed.alias("a").join(keys.alias("b"), same, "left_anti").select(docs.columns)
+    own_row = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col(f"a.{own}") == F.col("b._row"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    rest = keyed.alias("a").join(keys.alias("b"), own_row, "left_anti").select(*names)
     if keys.where("stays").isEmpty():
         return rest
-    once = keyed.alias("a").join(keys.where("stays").alias("b"), same, "left_semi").select(docs.columns).distinct()
+    once = keyed.alias("a").join(keys.where("stays").alias("b"), own_row, "left_semi").select(*names).distinct()
     return rest.unionByName(once)
 
 
