@@ -30,6 +30,21 @@ INTERNAL_COLUMNS = (
 )
 REPORT_COLUMNS = ("check", "label", "passed", "message")
 
+# The texts of report messages.
+PASS_TEXT = " [PASS]"
+FAIL_TEXT = " [FAIL]"
+ROW_COUNT_TEXT = "Row count: "
+EXPECTED_TEXT = "Expected ~{expected} rows (±{percent:.0f}%), got "
+NULL_TEXT = "Null check failures: "
+EMPTY_TEXT = "Empty DataFrame"
+RANGE_TEXT = " out-of-range values"
+ABSENT_TEXT = "Column not present"
+UNBOUNDED_TEXT = "No bounds specified"
+UNIQUE_TEXT = "Unique keys: "
+DUPLICATES_TEXT = ", duplicates: "
+ORPHAN_TEXT = "Orphan {key} values: "
+SCHEMA_TEXT = "Missing columns: {missing}, extra: {extra}"
+
 
 @dataclass(frozen=True)
 class Check:
@@ -54,12 +69,12 @@ def cardinality(expected: int | None = None, tolerance: float = 0.0, label: str
         actual = value("rows")
         if expected is None:
             passed = F.lit(True)
-            message = F.concat(F.lit("Row count: "), actual.cast("string"))
+            message = F.concat(F.lit(ROW_COUNT_TEXT), actual.cast("string"))
         else:
             low, high = int(expected * (1 - tolerance)), int(expected * (1 + tolerance))
             passed = actual.between(low, high)
             message = F.concat(
-                F.lit(f"Expected ~{expected} rows (±{tolerance * 100:.0f}%), got "),
+                F.lit(EXPECTED_TEXT.format(expected=expected, percent=tolerance * 100)),
                 actual.cast("string"),
                 _verdict(passed),
             )
@@ -97,12 +112,12 @@ def null_rate(
         listed = F.when(passed, F.lit("none")).otherwise(
             F.concat(F.lit("['"), F.array_join(failed, "', '"), F.lit("']"))
         )
-        checked = F.concat(F.lit("Null check failures: "), listed, _verdict(passed))
+        checked = F.concat(F.lit(NULL_TEXT), listed, _verdict(passed))
         return {
             "column_null_rates": F.create_map(*rates),
             "failures": failed,
             "passed": passed,
-            "message": F.when(value("rows") == 0, F.lit("Empty DataFrame")).otherwise(checked),
+            "message": F.when(value("rows") == 0, F.lit(EMPTY_TEXT)).otherwise(checked),
         }
 
     if not columns:
@@ -126,9 +141,9 @@ def value_range(
     checked_value = F.col(column) if type_name is None else typed(F.col(column), type_name)
     skipped = None
     if not present:
-        skipped = "Column not present"
+        skipped = ABSENT_TEXT
     elif low is None and high is None:
-        skipped = "No bounds specified"
+        skipped = UNBOUNDED_TEXT
 
     def results(value):
         if skipped:
@@ -137,7 +152,7 @@ def value_range(
             violations = value("outside")
             passed = violations == 0
             message = F.concat(
-                F.lit(f"{column}: "), violations.cast("string"), F.lit(" out-of-range values"),
+                F.lit(f"{column}: "), violations.cast("string"), F.lit(RANGE_TEXT),
                 _verdict(passed),
             )
         return {
@@ -289,8 +304,8 @@ def unique_row(counts: DataFrame, label: str = "") -> DataFrame:
     duplicates = F.col("total_rows") - F.col("distinct_keys")
     passed = duplicates == 0
     message = F.concat(
-        F.lit("Unique keys: "), F.col("distinct_keys").cast("string"), F.lit("/"),
-        F.col("total_rows").cast("string"), F.lit(", duplicates: "), duplicates.cast("string"),
+        F.lit(UNIQUE_TEXT), F.col("distinct_keys").cast("string"), F.lit("/"),
+        F.col("total_rows").cast("string"), F.lit(DUPLICATES_TEXT), duplicates.cast("string"),
         _verdict(passed),
     )
     return counts.select(
@@ -326,7 +341,7 @@ def integrity_row(counted: DataFrame, join_key: str | Sequence[str], label: str
     shown = join_key if isinstance(join_key, str) else ", ".join(join_key)
     passed = F.col("orphan_count") == 0
     message = F.concat(
-        F.lit(f"Orphan {shown} values: "), F.col("orphan_count").cast("string"), _verdict(passed)
+        F.lit(ORPHAN_TEXT.format(key=shown)), F.col("orphan_count").cast("string"), _verdict(passed)
     )
     return counted.select(
         F.lit("referential_integrity").alias("check"),
@@ -359,9 +374,9 @@ def check_schema_conformance(
     )
     passed = not missing and not mistyped
     message = (
-        f"Missing columns: {missing or 'none'}, extra: {len(extra)}"
+        SCHEMA_TEXT.format(missing=missing or "none", extra=len(extra))
         + (f", mistyped: {mistyped or 'none'}" if check_types else "")
-        + f" [{'PASS' if passed else 'FAIL'}]"
+        + (PASS_TEXT if passed else FAIL_TEXT)
     )
     schema = (
         "check string, label string, missing_columns array<string>, extra_columns array<string>, "
@@ -439,7 +454,7 @@ def report_document(report_rows: DataFrame, name: str, run_ts) -> DataFrame:
 
 
 def _verdict(passed: Column) -> Column:
-    return F.when(passed, F.lit(" [PASS]")).otherwise(F.lit(" [FAIL]"))
+    return F.when(passed, F.lit(PASS_TEXT)).otherwise(F.lit(FAIL_TEXT))
 
 
 def _null_counters(columns: Sequence[str]) -> dict[str, Column]:

@@ -81,16 +81,3 @@ class DomainSpec:
                 for name, type_name in self.columns
             ]
         )
-
-
-def parse_table(text: str, feeds: tuple[str, ...]) -> dict:
-    """Split a whitespace table (column, type, one column per feed) into spec fields."""
-    rows = [line.split() for line in text.strip().splitlines()]
-    return {
-        "columns": tuple((row[0], row[1].rstrip("!")) for row in rows),
-        "required": tuple(row[0] for row in rows if row[1].endswith("!")),
-        "feeds": tuple(
-            Feed(name, {row[2 + i]: row[0] for row in rows if row[2 + i] != "-"})
-            for i, name in enumerate(feeds)
-        ),
-    }
