@@ -31,13 +31,22 @@ _PLANE = struct.Struct("<QI")
 BLOCK, STEP = 1 << 16, 512
 
 
-def _block_image(ones: np.ndarray) -> bytes:
-    """Set bits before every ``STEP``-th bit, then the bits, filled up to whole steps."""
+def _block_images(ones: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """A plane's blocks, and the set bits before each: a block has those before every step of its own, then its bits."""
+    steps = -(-len(ones) // STEP)
+    bits = np.zeros(steps * (STEP // 8), np.uint8)
     packed = np.packbits(ones, bitorder="little")
-    bits = np.zeros(-(-len(ones) // STEP) * (STEP // 8), np.uint8)
     bits[: len(packed)] = packed
-    counts = np.bitwise_count(bits).reshape(-1, STEP // 8).sum(axis=1)
-    return np.concatenate([[0], np.cumsum(counts)[:-1]]).astype("<u2").tobytes() + bits.tobytes()
+    counts = np.bitwise_count(bits.view(np.uint64)).reshape(steps, STEP // 64).sum(axis=1, dtype=np.int64)
+    before = np.cumsum(counts) - counts
+    first = np.arange(0, steps, BLOCK // STEP)
+    own = (before - np.repeat(before[first], np.diff(np.append(first, steps)))).astype("<u2")
+    edges = [*first.tolist(), steps]
+    images = [
+        own[x:y].tobytes() + bits[x * (STEP // 8) : y * (STEP // 8)].tobytes()
+        for x, y in zip(edges[:-1], edges[1:], strict=True)
+    ]
+    return images, before[first]
 
 
 def encode_shard(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray, bits: int) -> bytes:
@@ -55,15 +64,14 @@ def encode_shard(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndar
     table = squeeze(known.tobytes() + numbers.tobytes() + lengths.astype(np.uint64).tobytes())
     parts = [_HEAD.pack(MAGIC, len(tokens), len(doc_ids), bits), struct.pack("<Q", len(table)), table]
     values = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
-    starts = np.arange(0, len(values), BLOCK)
     for level in range(bits - 1, -1, -1):
         ones = (values & values.dtype.type(1 << level)).astype(bool)
-        blocks_ = [squeeze(_block_image(ones[at : at + BLOCK])) for at in starts.tolist()]
-        counts = np.add.reduceat(ones, starts, dtype=np.int64) if len(starts) else starts
+        images, before = _block_images(ones)
+        blocks_ = list(map(squeeze, images))
         high = values.take(np.flatnonzero(ones))
         low = values.take(np.flatnonzero(~ones))
         parts.append(_PLANE.pack(len(low), len(blocks_)))
-        parts.append((np.cumsum(counts) - counts).astype("<u8").tobytes())
+        parts.append(before.astype("<u8").tobytes())
         parts.append(np.array(list(map(len, blocks_)), "<u4").tobytes())
         parts += blocks_
         values = np.concatenate([low, high])
