@@ -17,7 +17,7 @@ import pyarrow as pa
 
 BLOCK_BYTES = 1 << 20
 CACHE_PIECES = 200_000
-WORDS = 50
+WORDS = 200
 
 def _alphabet() -> dict[int, int]:
     """Byte to character, as byte-level BPE writes bytes: visible ones as they are, others from U+0100 on."""
@@ -107,7 +107,9 @@ class PieceEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encodes distinct pieces, many in a call; the length of ids or a line break shows where each ends."""
-        letters = [x for x in new if x.isalpha() or (x[0] == " " and x[1:].isalpha())]
+        letters, others = [], []
+        for x in new:
+            (letters if (x[1:] if x[0] == " " else x).isalpha() else others).append(x)
         if letters:
             # One pre-token each: the model alone, on the alphabet that it has for bytes.
             lines = "\n".join(letters).encode().decode("latin-1").translate(_ALPHABET).split("\n")
@@ -117,9 +119,8 @@ class PieceEncoder:
             spelled, wanted = np.cumsum(self.lengths[flat]), np.cumsum(list(map(len, lines)))
             self._add(letters, flat, np.diff(np.searchsorted(spelled, wanted), prepend=-1))
         odd, plain = [], []
-        for x in new:
-            if not (x.isalpha() or (x[0] == " " and x[1:].isalpha())):
-                (plain if _PLAIN(x) else odd).append(x)
+        for x in others:
+            (plain if _PLAIN(x) else odd).append(x)
         if plain:
             texts = ["\n".join(plain[i : i + WORDS]) for i in range(0, len(plain), WORDS)]
             parts = []
@@ -145,12 +146,22 @@ class PieceEncoder:
         place = coded.indices.to_numpy(zero_copy_only=False)
         if len(self.known) > CACHE_PIECES:
             self._forget()
-        known = self.known
-        self._learn([x for x in distinct if x not in known])
-        number = np.fromiter(map(known.__getitem__, distinct), dtype=np.int64, count=len(distinct))[place]
+        numbers = list(map(self.known.get, distinct))
+        new = [x for x, n in zip(distinct, numbers, strict=True) if n is None]
+        if new:
+            self._learn(new)
+            learned = map(self.known.__getitem__, new)
+            numbers = [next(learned) if n is None else n for n in numbers]
+        number = np.array(numbers, np.int64)[place]
         self.number, self.row_pieces = number, np.searchsorted(starts, ends)
         begins = self.bounds[number]
         lengths = self.bounds[number + 1] - begins
         after = np.cumsum(lengths)
         ids = self.flat[np.repeat(begins - (after - lengths), lengths) + np.arange(after[-1])]
         return ids, np.concatenate([[0], after])[self.row_pieces]
+
+
+@functools.lru_cache(maxsize=1)
+def worker_encoder(path: str) -> PieceEncoder:
+    """A file's encoder, kept by the Python worker: its later tasks find the pieces of earlier ones."""
+    return PieceEncoder(path)

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.pieces import BLOCK_BYTES, PieceEncoder
+from siltstone.llm.pieces import worker_encoder
 from siltstone.llm.scratch import Scratch
 from siltstone.llm.words import blocks
 
@@ -29,6 +29,8 @@ _HEAD = struct.Struct("<8sQQI")
 _PLANE = struct.Struct("<QI")
 #: Bits of a block, and bits between two stored counts within it.
 BLOCK, STEP = 1 << 16, 512
+#: Bytes of text encoded at once: of a longer block fewer pieces are distinct.
+TEXT_BYTES = 1 << 22
 
 
 def _block_images(ones: np.ndarray) -> tuple[list[bytes], np.ndarray]:
@@ -217,7 +219,7 @@ def write_shards(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = PieceEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(tokenizer), TaskContext.get().partitionId()
         doc_ids, held, lengths, total, shard = [], [], [], 0, 0
         end = np.array([end_id], np.uint32)
 
@@ -232,7 +234,7 @@ def write_shards(
 
         for batch in batches:
             numbers = batch.column(0).to_pylist()
-            for a, b, raw, ends in blocks(batch.column(1), BLOCK_BYTES):
+            for a, b, raw, ends in blocks(batch.column(1), TEXT_BYTES):
                 ids, bounds = encoder.encode(raw, ends)
                 for row in range(b - a):
                     held += (ids[bounds[row] : bounds[row + 1]], end)

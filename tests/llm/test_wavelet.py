@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from siltstone.llm import wavelet
+from siltstone.llm import pieces, wavelet
 from siltstone.llm.queries import tokenizer_path
 
 BPE = "byte_bpe_50k.json"
@@ -43,3 +43,23 @@ def test_ids_that_do_not_fit_are_an_error(spark):
     with pytest.raises(ValueError, match="70000 does not fit into 16 bits"):
         wavelet.encode_shard([1], np.array([2]), np.array([70_000, 5], np.uint32), 16)
     assert wavelet.id_bits(tokenizer_path(BPE), 2) == 16 and wavelet.id_bits(tokenizer_path(BPE), 70_000) == 17
+
+
+def test_a_workers_next_task_finds_the_pieces_of_the_last(monkeypatch):
+    learned = []
+    learn = pieces.PieceEncoder._learn
+    monkeypatch.setattr(pieces.PieceEncoder, "_learn", lambda self, new: (learned.extend(new), learn(self, new))[1])
+    path = tokenizer_path(BPE)
+    pieces.worker_encoder.cache_clear()
+    texts = ["So wéit, so   gut.\nfin", " ", "", "ein\t\tWort zu viel, 12 x 4! </s>", "a" * 40 + " weit"]
+    raws = [x.encode() for x in texts]
+    raw, ends = np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)])
+    whole = [x.ids for x in pieces._loaded(path)[0].encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        ids, bounds = pieces.worker_encoder(path).encode(raw, ends)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == whole
+    assert len(learned) == len(set(learned)) > 0
+    monkeypatch.setattr(pieces, "CACHE_PIECES", 0)
+    again = pieces.worker_encoder(path).encode(raw, ends)
+    assert (again[0] == ids).all() and len(learned) == 2 * len(set(learned))
+    pieces.worker_encoder.cache_clear()
