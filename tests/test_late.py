@@ -170,3 +170,37 @@ def test_wide_rows_as_they_were(spark):
     ]
     text = wide._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("asked", [1, 5, 70])
+def test_wide_rows_at_many_instants_equal_a_plain_search(spark, asked):
+    rng = random.Random(asked)
+    rows = [(i, rng.choice([*range(10), None]), START + timedelta(minutes=rng.randint(0, 3000)),
+             START + timedelta(minutes=rng.randint(3000, 6500)) if rng.random() < 0.5 else None) for i in range(60)]
+    stored = _random_versions(rng, 8, 6000)
+    # Versions that overlap, and keys and beginnings that are NULL.
+    stored += [(3, "again", START, None), (None, "no key", START, None), (4, "no beginning", None, None)]
+    base = spark.createDataFrame(rows, "id int, k int, _effective_from timestamp, _effective_to timestamp")
+    names = spark.createDataFrame(stored, "k int, name string, _effective_from timestamp, _effective_to timestamp")
+    instants = [START + timedelta(minutes=rng.randint(-100, 7000)) for _ in range(asked)]
+    wide = wide_as_of(base, ["id", "k"], [("d", names, ["k"], ["name"]), ("e", names, ["k"], ["name"])], instants)
+    assert wide.columns == ["_as_of", "id", "k", "name", "e_name"]
+
+    def valid(t, since, until):
+        return since is not None and since <= t and (until is None or until > t)
+
+    wanted = []
+    for t in instants:
+        for i, k, since, until in rows:
+            if valid(t, since, until):
+                found = [n for kk, n, a, b in stored if k is not None and kk == k and valid(t, a, b)] or [None]
+                wanted += [(t, i, k, n, m) for n in found for m in found]
+    assert sorted((tuple(r) for r in wide.collect()), key=repr) == sorted(wanted, key=repr)
+
+
+def test_rows_are_repeated_by_instant_after_the_joins(spark):
+    base, _ = history(spark, (0, [(1, "x", "p"), (2, "x", "q")]))
+    names = spark.createDataFrame([("p", "old", START, None)], "b string, n string, _effective_from timestamp, _effective_to timestamp")
+    noon = [START + timedelta(days=d, hours=12) for d in range(3)]
+    text = wide_as_of(base, ["k", "b"], [("d", names, ["b"], ["n"])], noon)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= text.index("explode") < text.index("Join LeftOuter")
