@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.domains import DOMAINS, WIDE_EXCLUDED, WIDE_JOINS, WIDE_TABLE
 from siltstone.operators.history import merge_current
+from siltstone.plans import silver
 from siltstone.plans.gold import empty_columns, wide_frame
 from siltstone.plans.silver import silver_step
 from siltstone.sources.store import Store
@@ -76,3 +77,28 @@ def test_wide_rows_are_shuffled_without_undelivered_columns(spark):
     assert sorted(wide.columns) == sorted(frame.columns)
     assert not any(wide.agg(*[F.count(c) for c in sorted(empty)]).first())
     assert wide.filter("security_currency IS NOT NULL AND security_created_timestamp IS NOT NULL").count() > 0
+
+
+def test_rows_of_a_new_date_are_not_merged(spark, tmp_path, monkeypatch):
+    """A batch that also corrects an older date merges that one; its new date has nothing to meet."""
+    d1, d2 = "2026-05-26", "2026-05-27"
+    first = [("x", "1", d1), ("y", "2", d1)]
+    second = [("x", "9", d1), ("x", "1", d2), ("z", "3", d2), ("z", "3", d2), (None, "4", d2)]
+    seen = []
+
+    def recorded(current, incoming, *args, **options):
+        days = {str(r.day) for r in incoming.select("day").distinct().collect()}
+        seen.append((sorted(days), options.get("first", False)))
+        return merge_current(current, incoming, *args, **options)
+
+    monkeypatch.setattr(silver, "merge_current", recorded)
+    store = Store(spark, str(tmp_path))
+    silver_step(store, rows(spark, first), SPEC, "b1", AT[0])
+    silver_step(store, rows(spark, second), SPEC, "b2", AT[1])
+    assert seen[1:] == [([d1], False), ([d2], True)]
+    versions = store.read_history("silver", "t").select("k", "day", "a", "_effective_from", "_effective_to")
+    assert sorted(((k, str(d), a, f.day, t and t.day) for k, d, a, f, t in versions.collect()), key=str) == sorted([
+        ("x", d1, "1", 26, 27), ("x", d1, "9", 27, None), ("y", d1, "2", 26, None),
+        ("x", d2, "1", 27, None), ("z", d2, "3", 27, None),
+    ], key=str)
+    assert store.read_current("silver", "t").count() == 4
