@@ -10,7 +10,7 @@ from siltstone.operators.history import merge_current
 from siltstone.plans import silver
 from siltstone.plans.gold import empty_columns, wide_frame
 from siltstone.plans.silver import silver_step
-from siltstone.sources.store import Store
+from siltstone.sources.store import Store, write_table
 from siltstone.specs import DomainSpec
 from workloads import layers
 
@@ -102,3 +102,19 @@ def test_rows_of_a_new_date_are_not_merged(spark, tmp_path, monkeypatch):
         ("x", d2, "1", 27, None), ("z", d2, "3", 27, None),
     ], key=str)
     assert store.read_current("silver", "t").count() == 4
+
+
+def test_stored_hashes_take_half_of_their_text(spark, tmp_path):
+    """Files are squeezed, unless the session names a codec of its own."""
+    hashes = spark.range(50_000).select(F.md5(F.col("id").cast("string")).alias("h")).coalesce(1)
+    write_table(hashes, f"{tmp_path}/usual")
+    (file,) = tmp_path.glob("usual/*.parquet")
+    assert file.stat().st_size < 50_000 * 24
+    spark.conf.set("spark.sql.parquet.compression.codec", "gzip")
+    try:
+        write_table(hashes, f"{tmp_path}/named")
+    finally:
+        spark.conf.unset("spark.sql.parquet.compression.codec")
+    assert [f.name for f in tmp_path.glob("named/*.gz.parquet")]
+    write_table(hashes, f"{tmp_path}/text", fmt="json")
+    assert spark.read.json(f"{tmp_path}/text").count() == spark.read.parquet(f"{tmp_path}/usual").count() == 50_000
