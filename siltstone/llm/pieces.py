@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ def _alphabet() -> dict[int, int]:
 
 #: A line break is kept while lines are still to be told apart.
 _ALPHABET = _alphabet() | {0x0A: 0x0A}
+_SPACE = chr(_ALPHABET[0x20])
 
 #: A piece with no blank but one before it.
 _PLAIN = re.compile(r" ?[^\s\x1c-\x1f]+").fullmatch
@@ -88,10 +90,11 @@ class PieceEncoder:
 
     Encoded pieces are remembered: their ids lie end to end in ``flat``, and ``known``
     has each piece's number; ``number`` and ``row_pieces`` are the last block's pieces and
-    each row's offset among them. Past ``CACHE_PIECES`` pieces all are forgotten.
+    each row's offset among them. Past ``most`` times ``CACHE_PIECES`` pieces all are forgotten.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = 1):
+        self.most = most
         self.tokenizer, self.model, self.end, self.lengths = _loaded(path)
         self._forget()
 
@@ -107,12 +110,19 @@ class PieceEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encodes distinct pieces, many in a call; the length of ids or a line break shows where each ends."""
-        letters, others = [], []
+        letters, foreign, others = [], [], []
         for x in new:
-            (letters if (x[1:] if x[0] == " " else x).isalpha() else others).append(x)
-        if letters:
+            if (x[1:] if x[0] == " " else x).isalpha():
+                (letters if x.isascii() else foreign).append(x)
+            else:
+                others.append(x)
+        for letters in filter(None, (letters, foreign)):
             # One pre-token each: the model alone, on the alphabet that it has for bytes.
-            lines = "\n".join(letters).encode().decode("latin-1").translate(_ALPHABET).split("\n")
+            joined = "\n".join(letters)
+            if joined.isascii():  # nothing but blanks is written otherwise
+                lines = joined.replace(" ", _SPACE).split("\n")
+            else:
+                lines = joined.encode().decode("latin-1").translate(_ALPHABET).split("\n")
             texts = [" ".join(lines[i : i + WORDS]) for i in range(0, len(lines), WORDS)]
             coded = self.model.encode_batch_fast(texts, add_special_tokens=False)
             flat = np.concatenate([np.array(x.ids, np.uint32) for x in coded])
@@ -144,15 +154,15 @@ class PieceEncoder:
         coded = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), data).dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         place = coded.indices.to_numpy(zero_copy_only=False)
-        if len(self.known) > CACHE_PIECES:
+        if len(self.known) > self.most * CACHE_PIECES:
             self._forget()
-        numbers = list(map(self.known.get, distinct))
-        new = [x for x, n in zip(distinct, numbers, strict=True) if n is None]
-        if new:
+        numbers = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown.tolist()]
             self._learn(new)
-            learned = map(self.known.__getitem__, new)
-            numbers = [next(learned) if n is None else n for n in numbers]
-        number = np.array(numbers, np.int64)[place]
+            numbers[unknown] = np.fromiter(map(self.known.__getitem__, new), np.int64, len(new))
+        number = numbers[place]
         self.number, self.row_pieces = number, np.searchsorted(starts, ends)
         begins = self.bounds[number]
         lengths = self.bounds[number + 1] - begins
@@ -163,5 +173,8 @@ class PieceEncoder:
 
 @functools.lru_cache(maxsize=1)
 def worker_encoder(path: str) -> PieceEncoder:
-    """A file's encoder, kept by the Python worker: its later tasks find the pieces of earlier ones."""
-    return PieceEncoder(path)
+    """A file's encoder, kept by the Python worker: its later tasks find the pieces of earlier ones.
+
+    It remembers more of them than one that lasts for a task: some 200 bytes a piece.
+    """
+    return PieceEncoder(path, most=3)

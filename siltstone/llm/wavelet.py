@@ -29,8 +29,8 @@ _HEAD = struct.Struct("<8sQQI")
 _PLANE = struct.Struct("<QI")
 #: Bits of a block, and bits between two stored counts within it.
 BLOCK, STEP = 1 << 16, 512
-#: Bytes of text encoded at once: of a longer block fewer pieces are distinct.
-TEXT_BYTES = 1 << 22
+#: Bytes of text encoded at once: of a longer block fewer pieces are distinct. A batch has no more.
+TEXT_BYTES = 1 << 23
 
 
 def _block_images(ones: np.ndarray) -> tuple[list[bytes], np.ndarray]:

@@ -63,3 +63,24 @@ def test_a_workers_next_task_finds_the_pieces_of_the_last(monkeypatch):
     again = pieces.worker_encoder(path).encode(raw, ends)
     assert (again[0] == ids).all() and len(learned) == 2 * len(set(learned))
     pieces.worker_encoder.cache_clear()
+
+
+def test_a_worker_remembers_more_pieces_than_a_task(monkeypatch):
+    """The pieces of a block are still known two blocks later; letters of all scripts keep their ids."""
+    texts = [
+        " ".join(f"w{''.join(chr(97 + (i // 26**k) % 26) for k in range(3))}{tail}" for i in range(500))
+        for tail in ("a", "é", "д")
+    ]
+    learned = []
+    learn = pieces.PieceEncoder._learn
+    monkeypatch.setattr(pieces.PieceEncoder, "_learn", lambda self, new: (learned.extend(new), learn(self, new))[1])
+    monkeypatch.setattr(pieces, "CACHE_PIECES", 600)
+    pieces.worker_encoder.cache_clear()
+    path = tokenizer_path(BPE)
+    encoder = pieces.worker_encoder(path)
+    for text in (*texts, texts[0]):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = encoder.encode(raw, np.array([0, len(raw)]))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(learned) == len(set(learned)) == 1500
+    pieces.worker_encoder.cache_clear()
