@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.pieces import PieceEncoder
 from siltstone.llm.scratch import Scratch
-from siltstone.llm.words import Words, blocks, mixed, spans, windows
+from siltstone.llm.words import Words, blocks, gives_back, mixed, spans, windows
 
 WINDOW = 5
 BLOCK_BYTES = 3 << 18
@@ -133,6 +133,7 @@ class _Fertility(PieceEncoder):
 def measured(docs: DataFrame, tokenizer: str, pieces: str, carried: list[str]) -> DataFrame:
     """``carried`` columns, then base counts and measures of each row's ``text``."""
 
+    @gives_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Fertility(tokenizer, pieces)
         for batch in batches:

@@ -1,10 +1,11 @@
 """Mixing sources to target weights with distributed prefix sums, in DataFrame operations.
 
 Rows get hash-random keys. Within each source, the range of keys is cut into slots; the
-slots' sizes give every slot the words before it, and a window over one slot the words
-before each row. So even a source with a third of all rows is sorted and summed by many
-tasks. A source whose target is e times its size and r words more gives every row e
-times, and once more the rows before the r-th word in key order, cut at that word.
+slots' sizes give every slot the words before it. A source whose target is e times its
+size and r words more gives every row e times, and once more the rows before the r-th
+word in key order, cut at that word. All rows of a slot lie before that word or behind
+it, but for the slot that holds it: only there a window sorts rows and gives each the words
+before it. So of every source one slot is shuffled, however long the texts are.
 """
 
 from __future__ import annotations
@@ -66,30 +67,47 @@ def mixture(
     with the rows of the largest. ``keep`` writes the counted rows once, so that texts are
     read once; pass False if texts are carried. An empty table gives no rows.
     """
+    scratch = Scratch(docs.sparkSession)
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")))
-    base = docs.select(
+    keyed = docs.select(
         *carried,
-        words(F.col("text")).alias("size"),
+        F.col("text").alias("mix_text"),
         F.col("source").isNull().alias("mix_null"),
         F.coalesce("source", F.lit("")).alias("mix_source"),
         key.alias("mix_key"),
     ).withColumn("mix_slot", (F.conv(F.substring("mix_key", 1, 6), 16, 10).cast("long") * slots / (1 << 24)).cast("int"))
-    if keep:
-        base = Scratch(docs.sparkSession).keep(base, "sizes")
+
+    def sized(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("size", words(F.col("mix_text"))).drop("mix_text")
+
+    base = scratch.keep(sized(keyed), "sizes") if keep else sized(keyed)
     in_slots = base.groupBy("mix_null", "mix_source", "mix_slot").agg(F.sum("size").alias("slot_size"))
     own = Window.partitionBy("mix_null", "mix_source").orderBy("mix_slot").rowsBetween(Window.unboundedPreceding, -1)
     slot_starts = in_slots.withColumn("slot_start", F.coalesce(F.sum("slot_size").over(own), F.lit(0)))
     goals = targets(in_slots.groupBy("mix_null", "mix_source").agg(F.sum("slot_size").alias("source_size")))
-    slot_starts = slot_starts.drop("slot_size").join(goals, ["mix_null", "mix_source"])
+    epochs = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
+    ends_here = (F.col("mix_rest") > F.col("slot_start")) & (F.col("mix_rest") < F.col("slot_start") + F.col("slot_size"))
+    # Written, so that Spark knows how small it is before it deals out any row.
+    placed = scratch.keep(
+        slot_starts.join(goals, ["mix_null", "mix_source"])
+        .withColumn("mix_epochs", epochs)
+        .withColumn("mix_rest", F.floor(F.col("target") - F.col("mix_epochs") * F.col("source_size")))
+        .withColumn("mix_cut", F.coalesce(ends_here, F.lit(False)))
+        .drop("slot_size"),
+        "slots",
+    )
     place = ["mix_null", "mix_source", "mix_slot"]
-    before = Window.partitionBy(*place).orderBy("mix_key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = base.join(slot_starts, place).withColumn(
-        "start", F.col("slot_start") + F.coalesce(F.sum("size").over(before), F.lit(0))
+    # Rows of a slot before the one where the budget ends are all taken, those behind it are not.
+    whole = base.join(placed.where("not mix_cut"), place).withColumn(
+        "mix_more", F.when(F.col("slot_start") >= F.col("mix_rest"), F.lit(0)).otherwise(F.col("size"))
     )
-    epochs = F.coalesce(F.floor(F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))), F.lit(0))
-    rest = F.floor(F.col("target") - epochs * F.col("source_size"))
-    more = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("start")))
-    return rows.select(*carried, "size", "source_size", "target", (epochs * F.col("size") + more).cast("long").alias("taken"))
+    before = Window.partitionBy(*place).orderBy("mix_key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("mix_rest") - F.col("slot_start") - F.coalesce(F.sum("size").over(before), F.lit(0))
+    here = placed.where("mix_cut")
+    cut = base.join(here, place) if keep else sized(keyed.join(here, place))
+    cut = cut.withColumn("mix_more", F.greatest(F.lit(0), F.least(F.col("size"), left)))
+    taken = (F.col("mix_epochs") * F.col("size") + F.col("mix_more")).cast("long").alias("taken")
+    return whole.unionByName(cut).select(*carried, "size", "source_size", "target", taken)
 
 
 def mixed_documents(docs: DataFrame, *, seed: str = "mix", slots: int = 256) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.components import components
 from siltstone.llm.scratch import Scratch
-from siltstone.llm.words import Words, blocks, set_hashes, shingle_sets
+from siltstone.llm.words import Words, blocks, gives_back, set_hashes, shingle_sets
 
 CHUNK = 2_000_000
 MOST_MATCHES = 16
@@ -43,6 +43,7 @@ _SHARED = "part int, sets binary, sizes binary, counts binary, grams binary, fou
 def signatures(docs: DataFrame, n: int, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carried`` columns, n_shingles, set_id of every row; a null or wordless text has no shingle."""
 
+    @gives_back
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             last = batch.num_columns - 1
@@ -102,6 +103,7 @@ def _packs(docs: DataFrame, n: int, bits: int) -> DataFrame:
             [pa.array(out["part"], pa.int32()), *(pa.array(out[k], pa.binary()) for k in list(out)[1:])], list(out)
         )
 
+    @gives_back
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
         held, total = [], 0
@@ -131,6 +133,7 @@ def _shared(packs: DataFrame, bits: int) -> DataFrame:
     """Of each bucket, the shingles that two or more sets hold, with their count, packed by set."""
     back, under = np.uint64(64 - bits), np.uint64(bits)
 
+    @gives_back
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, rows in _grouped(batches, 6):
             sets, sizes = _gathered(rows, 0, np.int64), _gathered(rows, 1, np.uint32)
@@ -201,6 +204,7 @@ def choose_matches(found: np.ndarray, size: int, percent: int) -> tuple[int, int
 def _survivors(shared: DataFrame, bits: int, percent: int) -> DataFrame:
     """Sets that share enough shingles with others: these shingles, and their prefix."""
 
+    @gives_back
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _grouped(batches, 6):
             sets, sizes = _gathered(rows, 0, np.int64), _gathered(rows, 1, np.uint32)
@@ -268,6 +272,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         at = np.searchsorted(b, a)
         return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
+    @gives_back
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size_a, size_b, needed = (batch.column(i).to_pylist() for i in (2, 3, 4))

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from siltstone.llm.pieces import BLOCK_BYTES, PieceEncoder
-from siltstone.llm.words import blocks
+from siltstone.llm.words import blocks, gives_back
 
 _COLUMNS = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -139,6 +139,7 @@ def pack(
     together (padding falls with it), and as many more as one block of texts has.
     """
 
+    @gives_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = PieceEncoder(tokenizer)
         packer = _Packer(capacity, part, group, with_ids)

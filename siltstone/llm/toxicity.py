@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.training_rows import fold, sampled_ids, sampled_rows
-from siltstone.llm.words import blocks
+from siltstone.llm.words import blocks, gives_back
 
 BUCKET_BITS = 17
 SIZES = (3, 4, 5)
@@ -269,6 +269,7 @@ def scored(docs: DataFrame, model: ToxicityModel, carried: list[str], score: str
     """``carried`` columns and each row's score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @gives_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             last = batch.num_columns - 1
@@ -299,6 +300,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @gives_back
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [shared.value.scores(raw, ends) for _, _, raw, ends in blocks(batch.column(at))]

@@ -9,7 +9,8 @@ with one multiplier per place.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,22 @@ def give_back() -> None:
         pass
 
 
+def gives_back(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """``run`` for a Python worker: at its end, when what it held is gone, memory goes back to the system.
+
+    A worker that waits for its next task would keep it, beside the stages that need none.
+    """
+
+    @functools.wraps(run)
+    def task(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 class Words:
     """Word hashes of a block: ``hashes`` of all words, ``first[i]:first[i + 1]`` those of row i."""
 
