@@ -104,3 +104,47 @@ def test_batch_counts_after_its_last_turn(spark, store):
     assert store.batches("gold", "t") == []
     assert store.write_dated([good], "gold", "t", "20260526", "day") == 10
     assert store.read("gold", "t").count() == 10
+
+
+def base_rows(spark, day, numbers, extra=0):
+    rows = spark.createDataFrame([(i,) for i in numbers], "n long")
+    return rows.select(
+        F.concat(F.lit("P"), "n").alias("id"), F.lit(DAYS[day]).alias("day"),
+        F.concat(F.lit("S"), F.col("n") % 7).alias("sec"), (F.col("n") + extra).alias("amount"),
+    )
+
+
+def two_batches(spark, store):
+    """Two dates; the second batch also corrects, repeats and adds rows of the first."""
+    silver_step(store, base_rows(spark, 0, range(200)), BASE, "20260526", AT[0])
+    again = base_rows(spark, 0, range(50), extra=5).unionByName(base_rows(spark, 0, range(50, 80)))
+    again = again.unionByName(base_rows(spark, 0, range(200, 220)))
+    silver_step(store, again.unionByName(base_rows(spark, 1, range(150))), BASE, "20260527", AT[1])
+
+
+def rows_of(frame):
+    return sorted(map(repr, (tuple(row) for row in frame.select(*sorted(frame.columns)).collect())))
+
+
+def test_history_is_merged_in_turns(spark, tmp_path, monkeypatch, wrote):
+    whole, parts = Store(spark, str(tmp_path / "a/warehouse")), Store(spark, str(tmp_path / "b/warehouse"))
+    two_batches(spark, whole)
+    assert not any(more for _, more in wrote)
+    held = whole.current_bytes("silver", "base", "20260526", DAYS[:1])
+    monkeypatch.setattr(turns_module, "TURN_BYTES", held // 3 + 1)
+    wrote.clear()
+    two_batches(spark, parts)
+    assert [more for path, more in wrote if path == "silver/base/_state_batch=20260527"] == [True, True, False]
+    assert rows_of(parts.read_history("silver", "base")) == rows_of(whole.read_history("silver", "base"))
+    assert whole.read_history("silver", "base").filter("NOT _is_current").count() == 50
+    assert parts.read_current("silver", "base").count() == 370
+
+
+def test_repeated_key_fails_in_any_turn(spark, store, monkeypatch):
+    spec = DomainSpec(name="base", key=BASE.key, columns=BASE.columns, partition="day")
+    silver_step(store, base_rows(spark, 0, range(50)), spec, "20260526", AT[0])
+    monkeypatch.setattr(turns_module, "TURN_BYTES", store.current_bytes("silver", "base", "20260526") // 3 + 1)
+    twice = base_rows(spark, 0, [*range(20), 7])
+    with pytest.raises(Exception, match="duplicate key"):
+        silver_step(store, twice, spec, "20260527", AT[1])
+    assert store.batches("silver", "base") == ["20260526"]
