@@ -148,3 +148,39 @@ def test_repeated_key_fails_in_any_turn(spark, store, monkeypatch):
     with pytest.raises(Exception, match="duplicate key"):
         silver_step(store, twice, spec, "20260527", AT[1])
     assert store.batches("silver", "base") == ["20260526"]
+
+
+def test_wide_table_is_built_in_turns(spark, store, monkeypatch, wrote):
+    two_batches(spark, store)
+    risk = [(f"R{i}-{day}", f"P{i}", DAYS[day], i) for day in (0, 1) for i in range(0, 200, 2)]
+    risk += [("again", "P4", DAYS[0], 1), ("none", None, DAYS[0], 1)]
+    risk = spark.createDataFrame(risk, "calc string, id string, day date, dv01 long")
+    silver_step(store, risk, RISK, "20260527", AT[1])
+    names = spark.createDataFrame([(f"S{i}", f"name {i}") for i in range(5)], "sec string, label string")
+    silver_step(store, names, SEC, "20260527", AT[1])
+    domains = {"base": BASE, "risk": RISK, "sec": SEC}
+    dates = [str(day) for day in DAYS]
+
+    def build(table):
+        return gold.build_dates(store, BASE, domains, JOINS, {}, "20260527", AT[1], table, dates)
+
+    assert build("whole") == 371
+    sizes = [sum(store.current_bytes("silver", x, "20260527", [day]) for x in ("base", "risk")) for day in dates]
+    for table, most, shares in (("by_share", min(sizes) // 2 + 1, 4), ("by_date", max(sizes), 2)):
+        monkeypatch.setattr(turns_module, "TURN_BYTES", most)
+        found = gold.turns_of_dates(store, BASE, domains, JOINS, "20260527", dates)
+        assert [day for some, number, _ in found if number == 0 for day in some] == dates
+        assert len(found) >= shares
+        wrote.clear()
+        assert build(table) == 371
+        flags = [more for path, more in wrote if path == f"gold/{table}/_state_batch=20260527"]
+        assert flags == [True] * (len(found) - 1) + [False]
+        assert rows_of(store.read("gold", table)) == rows_of(store.read("gold", "whole"))
+    # A right join would give a dimension's unmatched rows in every turn, so it is left whole.
+    right = (("sec", ("sec",), "right"), JOINS[1])
+    assert gold.turns_of_dates(store, BASE, domains, right, "20260527", dates) == [(dates, 0, 1)]
+
+
+def test_number_of_turns(monkeypatch):
+    monkeypatch.setattr(turns_module, "TURN_BYTES", 100)
+    assert [turns(x) for x in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
